@@ -393,3 +393,101 @@ register("q2", O.with_ctes(_Q2, "fct_orders", "dim_customers"))(lambda spark, sf
 register("q3", O.with_ctes(_Q3, "fct_sessions"))(lambda spark, sf_dir: wh(spark, sf_dir).q3())
 register("q4", O.with_ctes(_Q4, "fct_daily_sales", "dim_date"))(lambda spark, sf_dir: wh(spark, sf_dir).q4())
 register("q5", O.with_ctes(_Q5, "mart_customer_360"))(lambda spark, sf_dir: wh(spark, sf_dir).q5())
+
+# ---------------------------------------------------------- data quality --
+
+from ..operators import quality as Q  # noqa: E402
+
+_DECLARED = Q.declared_checks(FIXTURE_CONFIG)
+
+
+def _checks_of(kind: str) -> list:
+    return [c for c in _DECLARED if c.kind == kind]
+
+
+def _register_declared(name: str, kind: str) -> None:
+    checks = _checks_of(kind)
+    sql = O.with_ctes(" union all ".join(O.check_sql(c) for c in checks), *O.checks_deps(checks))
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return Q.run_checks(wh(spark, sf_dir).table, checks)
+
+    q.__name__ = name
+    register(name, sql)(q)
+
+
+_register_declared("dq_not_null", "not_null")
+_register_declared("dq_unique", "unique")
+_register_declared("dq_accepted_values", "accepted_values")
+_register_declared("dq_relationships", "relationships")
+_register_declared("dq_expression", "expression")
+
+_SINGULAR_KEYS = {
+    "dq_net_revenue": "net_revenue_non_negative",
+    "dq_scd2_dates": "scd2_valid_interval",
+    "dq_scd2_overlap": "scd2_no_overlap",
+    "dq_scd2_current": "scd2_single_current",
+    "dq_ties_to_source": "fact_ties_to_source",
+    "dq_c360_covers": "c360_covers_facts",
+}
+
+
+def _register_singular(key: str, check: str) -> None:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return Q.singular_check(check, wh(spark, sf_dir).table)
+
+    q.__name__ = key
+    register(key, O.with_ctes(O.singular_sql(check), *O.checks_deps([], [check])))(q)
+
+
+for _k, _c in _SINGULAR_KEYS.items():
+    _register_singular(_k, _c)
+
+FRESHNESS_OFFSETS_H = (1, 30, 50)  # pass / warn / error cases
+
+
+def _freshness_oracle() -> str:
+    parts = " union all ".join(f"select 'raw_{e}' as source, max(_ingested_at) as max_loaded_at from stg_{e}" for e in ENTITIES)
+    cfg = FIXTURE_CONFIG
+    hour = 3600 * 1_000_000
+    offsets = ", ".join(str(h) for h in FRESHNESS_OFFSETS_H)
+    q = f"""
+select m.source, m.max_loaded_at, g.latest + to_hours(o.h) as as_of,
+       case when m.max_loaded_at is null then 'error'
+            when date_diff('microsecond', m.max_loaded_at, g.latest + to_hours(o.h)) > {cfg.freshness_error_hours * hour} then 'error'
+            when date_diff('microsecond', m.max_loaded_at, g.latest + to_hours(o.h)) > {cfg.freshness_warn_hours * hour} then 'warn'
+            else 'pass' end as status
+from ({parts}) m, (select max(max_loaded_at) as latest from ({parts}) x) g, (select unnest([{offsets}]) as h) o"""
+    return O.with_ctes(q, *[f"stg_{e}" for e in ENTITIES])
+
+
+@register("dq_freshness", _freshness_oracle())
+def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness of the five raw sources at three evaluation instants:
+    1, 30 and 50 hours after the latest load."""
+    raw = fixtures.raw_tables(spark, sf_dir)
+    latest = Q.union_all([df.select("_ingested_at") for df in raw.values()]).agg(F.max("_ingested_at")).scalar()
+    frames = [
+        Q.freshness(raw, latest + F.make_dt_interval(hours=F.lit(h)), FIXTURE_CONFIG) for h in FRESHNESS_OFFSETS_H
+    ]
+    return Q.union_all(frames)
+
+
+def _report_oracle() -> str:
+    rows = [O.check_sql(c) for c in _DECLARED] + [O.singular_sql(s) for s in _SINGULAR_KEYS.values()]
+    deps = O.checks_deps(_DECLARED, list(_SINGULAR_KEYS.values()))
+    q = (
+        "select *, case when violations = 0 then 'pass' when severity = 'warn' then 'warn' else 'fail' end as status from ("
+        + " union all ".join(rows)
+        + ") r"
+    )
+    return O.with_ctes(q, *deps)
+
+
+@register("dq_report", _report_oracle())
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 213 checks (207 declared + 6 singular) with pass / warn / fail."""
+    t = wh(spark, sf_dir).table
+    declared = Q.run_checks(t, _DECLARED)
+    singular = [Q.singular_check(s, t) for s in _SINGULAR_KEYS.values()]
+    return Q.with_status(Q.union_all([declared, *singular]))
