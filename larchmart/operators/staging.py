@@ -32,7 +32,7 @@ def json_extract(payload: Column | str, key: str) -> Column:
 def _typed(text: Column, name: str, typ: str, safe: bool) -> Column:
     if name == "is_converted":
         return bool_flag(F.lower(text).isin(*TRUE_TEXTS))
-    return F.try_cast(text, typ) if safe else text.cast(typ)
+    return text.try_cast(typ) if safe else text.cast(typ)
 
 
 def parse_entity(raw: DataFrame, entity: str, safe: bool = False) -> DataFrame:
@@ -50,10 +50,11 @@ def rejects(raw: DataFrame, entity: str) -> DataFrame:
     """
     doc = F.from_json("payload", payload_struct(entity))
     checks = [
-        F.when(doc[key].isNotNull() & F.try_cast(doc[key], typ).isNull(), F.lit(key))
+        F.when(doc[key].isNotNull() & doc[key].try_cast(typ).isNull(), F.lit(key))
         for name, typ, key in STAGING_FIELDS[entity]
         if name != "is_converted"
     ]
     bad = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    out = raw.select("id", "payload", "_ingested_at", doc.alias("_doc"), bad.alias("bad_keys"))
-    return out.where(F.col("_doc").isNull() | (F.size("bad_keys") > 0)).drop("_doc")
+    is_object = F.json_object_keys("payload").isNotNull()  # NULL for invalid JSON or a non-object
+    out = raw.select("id", "payload", "_ingested_at", is_object.alias("_obj"), bad.alias("bad_keys"))
+    return out.where(~F.col("_obj") | (F.size("bad_keys") > 0)).drop("_obj")
