@@ -269,11 +269,16 @@ def dim_date(spark: SparkSession, cfg: WarehouseConfig, activity: DataFrame | No
 
 
 def fct_orders(margins: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame, cfg: WarehouseConfig) -> DataFrame:
-    """Order-line fact: customer version in force at order time, product key."""
-    versions = dim_cust.select("customer_key", "customer_id", "valid_from", "valid_to")
-    resolved = point_in_time_join(margins, versions, key="customer_id", ts="order_date", take=["customer_key"])
+    """Order-line fact: customer version in force at order time, product key.
+
+    The product lookup runs first: the line economics were just joined on
+    ``product_id``, so this join reuses that hash partitioning and the lines
+    are shuffled once more only, for the customer (point-in-time) join.
+    """
     products = dim_prod.select("product_key", "product_id")
-    j = resolved.join(products, "product_id", "left")
+    with_product = margins.join(products, "product_id", "left")
+    versions = dim_cust.select("customer_key", "customer_id", "valid_from", "valid_to")
+    j = point_in_time_join(with_product, versions, key="customer_id", ts="order_date", take=["customer_key"])
     return j.select(
         surrogate_key("order_item_id").alias("fct_order_item_key"),
         "order_item_id",

@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The warehouse this package rebuilds is a daily full refresh with no event-time
+processing: sessions arrive already formed and the "watermark" of the customer
+mart is a batch ``max`` (see ``plans.models.data_watermark``).  No streaming
+operator is therefore provided.
+"""

@@ -122,3 +122,22 @@ def test_daily_sales_status_columns(spark, raw):
     assert daily.order_count == 2 and daily.customer_count == 1 and daily.net_revenue == Decimal("20.00")
     assert daily.completed_net_revenue == Decimal("10.00") and daily.returned_net_revenue == Decimal("0.00")
     assert daily.profit_margin_pct == Decimal("60.00")
+
+
+def test_day_split_versions_equal_single_window(spark):
+    """Hot key with many same-day and cross-day events, NULL instants and NULL keys."""
+    from larchmart.operators.scd2 import interval_versions
+
+    df = spark.sql(
+        """select case when id % 50 = 0 then null when id % 3 = 0 then 'hot' else concat('k', id % 7) end as k,
+                  case when id % 41 = 0 then null
+                       else timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id % 97 as int) * 5, 0, 0) end as ts
+           from range(3000)"""
+    ).dropDuplicates(["k", "ts"])
+    anchor = datetime(1900, 1, 1)
+    a = interval_versions(df, "k", "ts", anchor=anchor)
+    b = interval_versions(df, "k", "ts", anchor=anchor, split_by_day=False)
+    cols = ["k", "ts", "valid_from", "valid_to", "is_current"]
+    assert a.count() == df.count()
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+    assert b.select(cols).exceptAll(a.select(cols)).count() == 0
