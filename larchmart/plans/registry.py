@@ -21,7 +21,7 @@ from ..operators.staging import json_extract
 from ..sources import fixtures
 from ..sources.schemas import ENTITIES
 from . import models as M
-from .warehouse import Warehouse
+from .warehouse import Warehouse, shared  # noqa: F401
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -39,7 +39,9 @@ def register(name: str, oracle: str | None = None):
 
 
 def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse.from_driver_tables(spark, sf_dir, FIXTURE_CONFIG)
+    """The session's warehouse over ``sf_dir``: each table model is built once
+    (from the raw documents) and re-read by every later query."""
+    return shared(spark, sf_dir, FIXTURE_CONFIG)
 
 
 # ---------------------------------------------------------------- sources --
@@ -55,7 +57,9 @@ _RAW_SCAN_ORACLE = " union all ".join(
 def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw tables: documents, documents that parse as JSON objects, ingest span."""
     parts = []
-    for entity, raw in fixtures.raw_tables(spark, sf_dir).items():
+    w = wh(spark, sf_dir)
+    for entity in ENTITIES:
+        raw = w.raw_table(entity)
         parsed = F.from_json("payload", "map<string,string>").isNotNull()
         parts.append(
             raw.agg(
@@ -79,7 +83,7 @@ def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def json_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-key extraction from the raw order documents, then cast."""
-    raw = fixtures.raw_tables(spark, sf_dir)["orders"]
+    raw = wh(spark, sf_dir).raw_table("orders")
     p = F.col("payload")
     return raw.select(
         json_extract(p, "order_id").alias("order_id"),
@@ -108,7 +112,8 @@ def land_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources import landing
 
     root = landing.new_run_folder(spark, "bronze")
-    manifest = landing.land(fixtures.source_entities(spark, sf_dir), root)
+    w = wh(spark, sf_dir)
+    manifest = landing.land({e: w.raw_table(e) for e in ENTITIES}, root)
     return manifest.select("entity", "record_count", "storage")
 
 
@@ -124,7 +129,8 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources import landing
 
     bronze = landing.new_run_folder(spark, "bronze")
-    landing.land(fixtures.source_entities(spark, sf_dir), bronze)
+    w = wh(spark, sf_dir)
+    landing.land({e: w.raw_table(e) for e in ENTITIES}, bronze)
     raw_root = landing.new_run_folder(spark, "raw")
     landing.load_raw(spark, bronze, raw_root, run_id="r1")
     return landing.load_audit(spark, raw_root)
@@ -148,33 +154,33 @@ for _e in ENTITIES:
 # ----------------------------------------------------------- intermediate --
 
 register("order_margins", O.with_ctes("select * from int_order_margins", "int_order_margins"))(
-    lambda spark, sf_dir: wh(spark, sf_dir).int_order_margins
+    lambda spark, sf_dir: wh(spark, sf_dir).table("int_order_margins")
 )
 register("session_orders", O.with_ctes("select * from session_orders", "session_orders"))(
-    lambda spark, sf_dir: M.session_orders(wh(spark, sf_dir).stg_orders)
+    lambda spark, sf_dir: M.session_orders(wh(spark, sf_dir).table("stg_orders"))
 )
 register("int_sessions", O.with_ctes("select * from int_sessions", "int_sessions"))(
-    lambda spark, sf_dir: wh(spark, sf_dir).int_sessions
+    lambda spark, sf_dir: wh(spark, sf_dir).table("int_sessions")
 )
 
 # ------------------------------------------------------------- dimensions --
 
 register("dedupe_events", O.with_ctes("select * from dedupe_events", "dedupe_events"))(
-    lambda spark, sf_dir: M.dedupe_customer_events(wh(spark, sf_dir).stg_customers)
+    lambda spark, sf_dir: M.dedupe_customer_events(wh(spark, sf_dir).table("stg_customers"))
 )
 register("dim_customers", O.with_ctes("select * from dim_customers", "dim_customers"))(
-    lambda spark, sf_dir: wh(spark, sf_dir).dim_customers
+    lambda spark, sf_dir: wh(spark, sf_dir).table("dim_customers")
 )
 register(
     "current_customers",
     O.with_ctes("select * from dim_customers where is_current and customer_id <> '-1'", "dim_customers"),
-)(lambda spark, sf_dir: M.current_customers(wh(spark, sf_dir).dim_customers, FIXTURE_CONFIG))
+)(lambda spark, sf_dir: M.current_customers(wh(spark, sf_dir).table("dim_customers"), FIXTURE_CONFIG))
 register("dim_products", O.with_ctes("select * from dim_products", "dim_products"))(
-    lambda spark, sf_dir: wh(spark, sf_dir).dim_products
+    lambda spark, sf_dir: wh(spark, sf_dir).table("dim_products")
 )
-register("dim_date", O.with_ctes("select * from dim_date", "dim_date"))(lambda spark, sf_dir: wh(spark, sf_dir).dim_date)
+register("dim_date", O.with_ctes("select * from dim_date", "dim_date"))(lambda spark, sf_dir: wh(spark, sf_dir).table("dim_date"))
 register("date_spine", O.with_ctes("select * from date_spine", "date_spine"))(
-    lambda spark, sf_dir: wh(spark, sf_dir).date_spine
+    lambda spark, sf_dir: wh(spark, sf_dir).table("date_spine")
 )
 
 
@@ -187,7 +193,7 @@ register("date_spine", O.with_ctes("select * from date_spine", "date_spine"))(
     ),
 )
 def date_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = wh(spark, sf_dir).stg_orders
+    o = wh(spark, sf_dir).table("stg_orders")
     return o.select("order_id", date_key("order_date").alias("order_date_key"), date_key("_ingested_at").alias("ingested_date_key"))
 
 
@@ -200,7 +206,7 @@ def date_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def days_between_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = wh(spark, sf_dir).stg_orders
+    o = wh(spark, sf_dir).table("stg_orders")
     return o.select("order_id", days_between("order_date", "_ingested_at").alias("days_to_ingest"))
 
 
@@ -224,11 +230,11 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     return (
-        keyed(w.stg_order_items, "order_item", F.col("order_item_id"))
-        .unionByName(keyed(w.stg_sessions, "session", F.col("session_id")))
-        .unionByName(keyed(w.stg_products, "product", F.col("product_id")))
+        keyed(w.table("stg_order_items"), "order_item", F.col("order_item_id"))
+        .unionByName(keyed(w.table("stg_sessions"), "session", F.col("session_id")))
+        .unionByName(keyed(w.table("stg_products"), "product", F.col("product_id")))
         .unionByName(
-            keyed(M.dedupe_customer_events(w.stg_customers), "customer_version", F.col("customer_id"), ts_text("updated_at"))
+            keyed(M.dedupe_customer_events(w.table("stg_customers")), "customer_version", F.col("customer_id"), ts_text("updated_at"))
         )
     )
 
@@ -242,13 +248,13 @@ union all select 'dim_date', cast(date_key as varchar), day_name from dim_date w
 @register("unknown_members", O.with_ctes(_UNKNOWN_ORACLE, "dim_customers", "dim_products", "dim_date"))
 def unknown_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     w, cfg = wh(spark, sf_dir), FIXTURE_CONFIG
-    c = w.dim_customers.where(F.col("customer_key") == cfg.unknown_key).select(
+    c = w.table("dim_customers").where(F.col("customer_key") == cfg.unknown_key).select(
         F.lit("dim_customers").alias("dimension"), F.col("customer_key").alias("member_key"), F.col("first_name").alias("label")
     )
-    p = w.dim_products.where(F.col("product_key") == cfg.unknown_key).select(
+    p = w.table("dim_products").where(F.col("product_key") == cfg.unknown_key).select(
         F.lit("dim_products").alias("dimension"), F.col("product_key").alias("member_key"), F.col("product_name").alias("label")
     )
-    d = w.dim_date.where(F.col("date_key") == cfg.unknown_date_key).select(
+    d = w.table("dim_date").where(F.col("date_key") == cfg.unknown_date_key).select(
         F.lit("dim_date").alias("dimension"), F.col("date_key").cast("string").alias("member_key"), F.col("day_name").alias("label")
     )
     return c.unionByName(p).unionByName(d)
@@ -288,12 +294,12 @@ def pit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ facts --
 
-register("fct_orders", O.with_ctes("select * from fct_orders", "fct_orders"))(lambda spark, sf_dir: wh(spark, sf_dir).fct_orders)
+register("fct_orders", O.with_ctes("select * from fct_orders", "fct_orders"))(lambda spark, sf_dir: wh(spark, sf_dir).table("fct_orders"))
 register("fct_sessions", O.with_ctes("select * from fct_sessions", "fct_sessions"))(
-    lambda spark, sf_dir: wh(spark, sf_dir).fct_sessions
+    lambda spark, sf_dir: wh(spark, sf_dir).table("fct_sessions")
 )
 register("daily_sales", O.with_ctes("select * from fct_daily_sales", "fct_daily_sales"))(
-    lambda spark, sf_dir: wh(spark, sf_dir).fct_daily_sales
+    lambda spark, sf_dir: wh(spark, sf_dir).table("fct_daily_sales")
 )
 
 _DENSE_ORACLE = """
@@ -307,7 +313,7 @@ from dim_date d left join fct_daily_sales f on f.date_key = d.date_key"""
 @register("daily_sales_dense", O.with_ctes(_DENSE_ORACLE, "dim_date", "fct_daily_sales"))
 def daily_sales_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = wh(spark, sf_dir)
-    return M.daily_sales_dense(w.fct_daily_sales, w.dim_date)
+    return M.daily_sales_dense(w.table("fct_daily_sales"), w.table("dim_date"))
 
 
 # ------------------------------------------------------------ customer 360 --
@@ -315,19 +321,19 @@ def daily_sales_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("data_watermark", O.with_ctes("select * from data_watermark", "data_watermark"))
 def data_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = wh(spark, sf_dir)
-    return M.data_watermark(M.customer_order_lines(w.fct_orders, w.dim_customers))
+    return M.data_watermark(M.customer_order_lines(w.table("fct_orders"), w.table("dim_customers")))
 
 
 @register("customer_orders", O.with_ctes("select * from customer_orders", "customer_orders"))
 def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = wh(spark, sf_dir)
-    return M.customer_orders(M.customer_order_lines(w.fct_orders, w.dim_customers))
+    return M.customer_orders(M.customer_order_lines(w.table("fct_orders"), w.table("dim_customers")))
 
 
 @register("customer_sessions", O.with_ctes("select * from customer_sessions", "customer_sessions"))
 def customer_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = wh(spark, sf_dir)
-    return M.customer_sessions(w.fct_sessions, w.dim_customers)
+    return M.customer_sessions(w.table("fct_sessions"), w.table("dim_customers"))
 
 
 @register(
@@ -335,16 +341,16 @@ def customer_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     O.with_ctes("select customer_id, recency_score, frequency_score, monetary_score from rfm_scores", "rfm_scores"),
 )
 def rfm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wh(spark, sf_dir).mart_customer_360.select("customer_id", "recency_score", "frequency_score", "monetary_score")
+    return wh(spark, sf_dir).table("mart_customer_360").select("customer_id", "recency_score", "frequency_score", "monetary_score")
 
 
 @register("rfm_segments", O.with_ctes("select customer_id, rfm_segment from mart_customer_360", "mart_customer_360"))
 def rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wh(spark, sf_dir).mart_customer_360.select("customer_id", "rfm_segment")
+    return wh(spark, sf_dir).table("mart_customer_360").select("customer_id", "rfm_segment")
 
 
 register("customer_360", O.with_ctes("select * from mart_customer_360", "mart_customer_360"))(
-    lambda spark, sf_dir: wh(spark, sf_dir).mart_customer_360
+    lambda spark, sf_dir: wh(spark, sf_dir).table("mart_customer_360")
 )
 
 # ---------------------------------------------------------------- reports --
@@ -465,7 +471,8 @@ from ({parts}) m, (select max(max_loaded_at) as latest from ({parts}) x) g, (sel
 def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Freshness of the five raw sources at three evaluation instants:
     1, 30 and 50 hours after the latest load."""
-    raw = fixtures.raw_tables(spark, sf_dir)
+    w = wh(spark, sf_dir)
+    raw = {e: w.raw_table(e) for e in ENTITIES}
     latest = Q.union_all([df.select("_ingested_at") for df in raw.values()]).agg(F.max("_ingested_at")).scalar()
     frames = [
         Q.freshness(raw, latest + F.make_dt_interval(hours=F.lit(h)), FIXTURE_CONFIG) for h in FRESHNESS_OFFSETS_H

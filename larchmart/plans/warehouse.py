@@ -2,18 +2,26 @@
 
 Models are built lazily and memoised per instance, so one query plan that
 needs a model twice refers to the same DataFrame (Catalyst then reuses the
-exchange).  ``Warehouse.from_tables`` reads models that the pipeline has
-materialised instead of recomputing them.
+exchange).  With a ``store`` folder the instance materialises like the
+original build: raw, staging and mart models are written as Parquet the
+first time they are needed and re-read from there (intermediate models stay
+lazy views), so each model is computed once and lineage is cut at every
+table.  ``shared()`` keeps one such instance per session and input folder.
+``Warehouse.from_tables`` wraps models that the pipeline has materialised.
 """
 
 from __future__ import annotations
 
+import os
+import threading
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import FIXTURE_CONFIG, WarehouseConfig
 from ..operators.staging import parse_entity
+from ..session import work_dir
 from ..sources import fixtures
 from . import models as M
 from . import reports as R
@@ -32,17 +40,40 @@ MODELS = STAGING + (
 )
 
 
+# Models the original build stores as tables; the intermediate ones are views.
+TABLE_MODELS = STAGING + (
+    "dim_customers",
+    "dim_products",
+    "dim_date",
+    "fct_orders",
+    "fct_sessions",
+    "fct_daily_sales",
+    "mart_customer_360",
+)
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], cfg: WarehouseConfig = FIXTURE_CONFIG):
+    def __init__(
+        self,
+        spark: SparkSession,
+        raw: dict[str, DataFrame],
+        cfg: WarehouseConfig = FIXTURE_CONFIG,
+        store: str | None = None,
+    ):
         self.spark = spark
-        self.raw = raw
+        self.raw = dict(raw)
         self.cfg = cfg
+        self.store = store
         self._tables: dict[str, DataFrame] = {}
+        self._raw_done: set[str] = set()
+        self._lock = threading.RLock()
 
     # -- construction ------------------------------------------------------
     @classmethod
-    def from_driver_tables(cls, spark: SparkSession, sf_dir: str, cfg: WarehouseConfig = FIXTURE_CONFIG) -> "Warehouse":
-        return cls(spark, fixtures.raw_tables(spark, sf_dir), cfg)
+    def from_driver_tables(
+        cls, spark: SparkSession, sf_dir: str, cfg: WarehouseConfig = FIXTURE_CONFIG, store: str | None = None
+    ) -> "Warehouse":
+        return cls(spark, fixtures.raw_tables(spark, sf_dir), cfg, store)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, tables: dict[str, DataFrame], cfg: WarehouseConfig = FIXTURE_CONFIG) -> "Warehouse":
@@ -53,11 +84,30 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self._get(name)
 
+    def _write_read(self, df: DataFrame, rel: str) -> DataFrame:
+        path = f"{self.store}/{rel}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     def _get(self, name: str) -> DataFrame:
-        return self._tables[name] if name in self._tables else getattr(self, name)
+        with self._lock:
+            if name in self._tables:
+                return self._tables[name]
+            df = getattr(self, name)
+            if self.store is not None and name in TABLE_MODELS:
+                df = self._write_read(df, name)
+                self._tables[name] = df
+            return df
+
+    def raw_table(self, entity: str) -> DataFrame:
+        with self._lock:
+            if self.store is not None and entity not in self._raw_done:
+                self.raw[entity] = self._write_read(self.raw[entity], f"raw/{entity}")
+                self._raw_done.add(entity)
+            return self.raw[entity]
 
     def _stage(self, entity: str) -> DataFrame:
-        return parse_entity(self.raw[entity], entity)
+        return parse_entity(self.raw_table(entity), entity)
 
     # -- staging -----------------------------------------------------------
     @cached_property
@@ -148,3 +198,19 @@ class Warehouse:
 
     def q5(self) -> DataFrame:
         return R.q5_segments(self._get("mart_customer_360"))
+
+
+_SHARED: dict[tuple, Warehouse] = {}
+_SHARED_LOCK = threading.Lock()
+
+
+def shared(spark: SparkSession, sf_dir: str, cfg: WarehouseConfig = FIXTURE_CONFIG) -> Warehouse:
+    """The session's materialising warehouse over the tables in ``sf_dir``."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), repr(cfg))
+    with _SHARED_LOCK:
+        wh = _SHARED.get(key)
+        if wh is None:
+            store = f"{work_dir(spark).rstrip('/')}/warehouse-{uuid.uuid4().hex[:12]}"
+            wh = Warehouse.from_driver_tables(spark, sf_dir, cfg, store=store)
+            _SHARED[key] = wh
+        return wh
