@@ -22,10 +22,11 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import WarehouseConfig
+from .scd2 import lead_within_key
 
 RESULT_COLUMNS = ("check_name", "model", "column_name", "rule", "severity", "violations")
 SCAN_KINDS = ("not_null", "accepted_values", "expression")
@@ -282,10 +283,10 @@ def scd2_invalid_intervals(dim_customers: DataFrame) -> DataFrame:
 
 
 def scd2_overlaps(dim_customers: DataFrame) -> DataFrame:
-    w = Window.partitionBy("customer_id").orderBy("valid_from")
-    v = dim_customers.select(
-        "customer_id", "customer_key", "valid_from", "valid_to", F.lead("valid_from").over(w).alias("next_valid_from")
-    )
+    """Versions whose interval runs past the start of the key's next version
+    (``lead`` computed per (customer, day), so a hot customer is split)."""
+    base = dim_customers.select("customer_id", "customer_key", "valid_from", "valid_to")
+    v = lead_within_key(base, "customer_id", "valid_from", "next_valid_from").drop("__first")
     return v.where(
         F.col("next_valid_from").isNotNull()
         & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("next_valid_from")))

@@ -14,6 +14,41 @@ def _anchor(anchor: datetime) -> Column:
     return F.lit(anchor.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
+def lead_within_key(df: DataFrame, key: str, ts: str, out: str, *, split_by_day: bool = True) -> DataFrame:
+    """``df`` plus ``out`` = ``lead(ts) over (partition by key order by ts)``
+    and a boolean ``__first`` marking each key's first row.
+
+    A plain window sends all rows of one key to one task, so a key owning a
+    large share of the rows would stall the job.  With ``split_by_day`` the
+    windows run per ``(key, day of ts)`` instead, and the only cross-day
+    information - the first instant of the key's next active day, and which
+    day is its first - comes from a per-(key, day) aggregate (partially
+    aggregated before its shuffle) whose size per key is bounded by the
+    number of calendar days, not by the number of rows.
+    """
+    if not split_by_day:
+        w = Window.partitionBy(key).orderBy(ts)
+        return df.withColumns({"__first": F.row_number().over(w) == 1, out: F.lead(ts).over(w)})
+    day = F.to_date(F.col(ts))
+    ev = df.withColumn("__day", day)
+    w_day = Window.partitionBy(key, "__day").orderBy(ts)
+    ev = ev.withColumns({"__rn": F.row_number().over(w_day), "__next": F.lead(ts).over(w_day)})
+    days = df.groupBy(F.col(key), day.alias("__day")).agg(F.min(ts).alias("__day_min"))
+    w_key = Window.partitionBy(key).orderBy("__day")
+    days = days.select(
+        F.col(key).alias("__k"),
+        F.col("__day").alias("__d"),
+        F.lead("__day_min").over(w_key).alias("__next_day_min"),
+        (F.row_number().over(w_key) == 1).alias("__first_day"),
+    )
+    cond = ev[key].eqNullSafe(days["__k"]) & ev["__day"].eqNullSafe(days["__d"])
+    return ev.join(days, cond, "inner").select(
+        *[ev[c] for c in df.columns],
+        ((F.col("__rn") == 1) & F.col("__first_day")).alias("__first"),
+        F.coalesce(F.col("__next"), F.col("__next_day_min")).alias(out),
+    )
+
+
 def interval_versions(
     events: DataFrame,
     key: str,
@@ -29,39 +64,10 @@ def interval_versions(
 
     ``events`` must hold one row per ``(key, ts)``.  With ``anchor`` the first
     version of every key starts at that instant instead of its own ``ts`` so
-    facts earlier than the first captured event still resolve.
-
-    A plain ``lead() over (partition by key order by ts)`` sends all events of
-    one key to one task, so a key owning a large share of the history would
-    stall the job.  With ``split_by_day`` (default) the windows run per
-    ``(key, day of ts)`` instead, and the only cross-day information - the
-    first instant of the key's next active day, and which day is its first -
-    comes from a per-(key, day) aggregate (partially aggregated before its
-    shuffle) whose size per key is bounded by the number of calendar days,
-    not by the number of events.
+    facts earlier than the first captured event still resolve.  The ``lead``
+    is skew-safe (see ``lead_within_key``).
     """
-    if not split_by_day:
-        w = Window.partitionBy(key).orderBy(ts)
-        out = events.withColumns({"__first": F.row_number().over(w) == 1, valid_to: F.lead(ts).over(w)})
-    else:
-        day = F.to_date(F.col(ts))
-        ev = events.withColumn("__day", day)
-        w_day = Window.partitionBy(key, "__day").orderBy(ts)
-        ev = ev.withColumns({"__rn": F.row_number().over(w_day), "__next": F.lead(ts).over(w_day)})
-        days = events.groupBy(F.col(key), day.alias("__day")).agg(F.min(ts).alias("__day_min"))
-        w_key = Window.partitionBy(key).orderBy("__day")
-        days = days.select(
-            F.col(key).alias("__k"),
-            F.col("__day").alias("__d"),
-            F.lead("__day_min").over(w_key).alias("__next_day_min"),
-            (F.row_number().over(w_key) == 1).alias("__first_day"),
-        )
-        cond = ev[key].eqNullSafe(days["__k"]) & ev["__day"].eqNullSafe(days["__d"])
-        out = ev.join(days, cond, "inner").select(
-            *[ev[c] for c in events.columns],
-            ((F.col("__rn") == 1) & F.col("__first_day")).alias("__first"),
-            F.coalesce(F.col("__next"), F.col("__next_day_min")).alias(valid_to),
-        )
+    out = lead_within_key(events, key, ts, valid_to, split_by_day=split_by_day)
     start = F.col(ts)
     if anchor is not None:
         start = F.when(F.col("__first"), _anchor(anchor)).otherwise(F.col(ts))

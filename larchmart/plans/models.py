@@ -375,36 +375,53 @@ def daily_sales_dense(daily: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def customer_order_lines(fct: DataFrame, dim_cust: DataFrame) -> DataFrame:
-    """Fact lines re-keyed from the version key to the natural customer id."""
+    """Orders re-keyed from the version key to the natural customer id.
+
+    Lines are first collapsed to one row per (version, order, status) -
+    partially aggregated before their shuffle - so the join to the versions
+    moves one row per order instead of one per line.  Every downstream
+    measure (distinct orders, sums, first/last instants) is exact over this
+    grain.
+    """
     versions = dim_cust.select("customer_key", "customer_id")
-    lines = fct.select("customer_key", "order_id", "order_timestamp", "order_status", "net_revenue", "gross_profit")
-    return lines.join(versions, "customer_key").drop("customer_key")
+    per_order = fct.groupBy("customer_key", "order_id", "order_status").agg(
+        F.sum("net_revenue").alias("net_revenue"),
+        F.sum("gross_profit").alias("gross_profit"),
+        F.min("order_timestamp").alias("first_ts"),
+        F.max("order_timestamp").alias("last_ts"),
+    )
+    return per_order.join(versions, "customer_key").drop("customer_key")
 
 
-def data_watermark(lines: DataFrame) -> DataFrame:
+def data_watermark(orders: DataFrame) -> DataFrame:
     """Latest order instant in the warehouse (a one-row frame)."""
-    return lines.agg(F.max("order_timestamp").alias("latest_order_timestamp"))
+    return orders.agg(F.max("last_ts").alias("latest_order_timestamp"))
 
 
-def customer_orders(lines: DataFrame) -> DataFrame:
+def customer_orders(orders: DataFrame) -> DataFrame:
     """Lifetime purchase behaviour per customer, across all their versions."""
     returned = F.when(F.col("order_status") == "returned", F.col("order_id"))
-    return lines.groupBy("customer_id").agg(
+    return orders.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("lifetime_order_count"),
         F.sum("net_revenue").cast("decimal(14,2)").alias("lifetime_net_revenue"),
         F.sum("gross_profit").cast("decimal(14,2)").alias("lifetime_gross_profit"),
-        F.min("order_timestamp").alias("first_order_at"),
-        F.max("order_timestamp").alias("last_order_at"),
+        F.min("first_ts").alias("first_order_at"),
+        F.max("last_ts").alias("last_order_at"),
         F.count_distinct(returned).alias("returned_order_count"),
     )
 
 
 def customer_sessions(fct_sess: DataFrame, dim_cust: DataFrame) -> DataFrame:
+    """Engagement per customer across all versions (sessions are counted per
+    version first, so the join moves one row per version)."""
     versions = dim_cust.select("customer_key", "customer_id")
-    j = fct_sess.select("customer_key", "page_views_count").join(versions, "customer_key")
+    per_version = fct_sess.groupBy("customer_key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("page_views_count").alias("pv")
+    )
+    j = per_version.join(versions, "customer_key")
     return j.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("session_count"),
-        F.sum("page_views_count").alias("total_page_views"),
+        F.sum("n").alias("session_count"),
+        F.sum("pv").alias("total_page_views"),
     )
 
 
