@@ -332,13 +332,20 @@ def _status_revenue(status: str) -> Column:
 def fct_daily_sales(fct: DataFrame) -> DataFrame:
     """Periodic snapshot: one row per trading day.
 
-    Both distinct counts are planned by Catalyst as an Expand followed by an
-    aggregate keyed on (day, distinct value): a busy day is spread over its
-    orders and customers before the final per-day merge.
+    The two distinct counts are computed apart from the additive measures:
+    Catalyst plans distinct counts as an Expand (one copy of each row per
+    distinct column) keyed on (day, distinct value), which spreads a busy day
+    over its orders and customers; keeping the eleven measures out of that
+    Expand means only three narrow columns are copied, while the measures
+    take a plain partial/final aggregate.  Both halves have one row per day,
+    so their join is bounded by the calendar.
     """
-    return fct.groupBy(F.col("order_date_key").alias("date_key")).agg(
+    by_day = F.col("order_date_key").alias("date_key")
+    distincts = fct.groupBy(by_day).agg(
         F.count_distinct("order_id").alias("order_count"),
         F.count_distinct("customer_key").alias("customer_count"),
+    )
+    measures = fct.groupBy(by_day).agg(
         F.count(F.lit(1)).alias("order_line_count"),
         F.sum("quantity").alias("units_sold"),
         F.sum("gross_amount").cast("decimal(14,2)").alias("gross_amount"),
@@ -351,6 +358,22 @@ def fct_daily_sales(fct: DataFrame) -> DataFrame:
         _status_revenue("returned").alias("returned_net_revenue"),
         _status_revenue("cancelled").alias("cancelled_net_revenue"),
     )
+    return distincts.join(measures, "date_key").select(
+        "date_key",
+        "order_count",
+        "customer_count",
+        "order_line_count",
+        "units_sold",
+        "gross_amount",
+        "discount_amount",
+        "net_revenue",
+        "cogs",
+        "gross_profit",
+        "profit_margin_pct",
+        "completed_net_revenue",
+        "returned_net_revenue",
+        "cancelled_net_revenue",
+    )
 
 
 def daily_sales_dense(daily: DataFrame, calendar: DataFrame) -> DataFrame:
