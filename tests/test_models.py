@@ -124,7 +124,7 @@ def test_daily_sales_status_columns(spark, raw):
     assert daily.profit_margin_pct == Decimal("60.00")
 
 
-def test_day_split_versions_equal_single_window(spark):
+def test_range_versions_equal_single_window(spark):
     """Hot key with many same-day and cross-day events, NULL instants and NULL keys."""
     from larchmart.operators.scd2 import interval_versions
 
@@ -136,8 +136,23 @@ def test_day_split_versions_equal_single_window(spark):
     ).dropDuplicates(["k", "ts"])
     anchor = datetime(1900, 1, 1)
     a = interval_versions(df, "k", "ts", anchor=anchor)
-    b = interval_versions(df, "k", "ts", anchor=anchor, split_by_day=False)
+    b = interval_versions(df, "k", "ts", anchor=anchor, strategy="window")
     cols = ["k", "ts", "valid_from", "valid_to", "is_current"]
     assert a.count() == df.count()
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0
     assert b.select(cols).exceptAll(a.select(cols)).count() == 0
+
+
+def test_range_lead_splits_one_hot_key_and_day(spark):
+    """A single key and a single day holding every row: still exact, still sliced."""
+    from larchmart.operators.scd2 import lead_within_key
+
+    df = spark.sql(
+        "select 'hot' as k, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(id as int)) as ts "
+        "from range(5000) union all select 'cold', timestamp_ntz'2024-01-01 00:00:00'"
+    )
+    a = lead_within_key(df, "k", "ts", "nxt", partitions=8)
+    b = lead_within_key(df, "k", "ts", "nxt", strategy="window")
+    cols = ["k", "ts", "nxt", "__first"]
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0 and a.count() == 5001
+    assert a.where("__first").count() == 2
