@@ -22,7 +22,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
 
     from larchmart.config import FIXTURE_CONFIG
-    from larchmart.plans import pipeline
+    from larchmart.plans import build as warehouse_build
     from larchmart.plans.warehouse import Warehouse
     from larchmart.session import local_session
     from larchmart.sources import fixtures, landing
@@ -42,7 +42,7 @@ def main() -> None:
     # 2. build every model with its checks (gated)
     t = time.time()
     out_root = landing.new_run_folder(spark, "warehouse")
-    result = pipeline.build(spark, raw, FIXTURE_CONFIG, out_root, gate=False)
+    result = warehouse_build.build(spark, raw, FIXTURE_CONFIG, out_root, gate=False)
     timings["build_and_test"] = time.time() - t
     for k, v in result.timings.items():
         timings[k] = v

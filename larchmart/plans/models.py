@@ -1,7 +1,7 @@
 """Warehouse models: intermediate views, dimensions, facts and the customer mart.
 
 Every model is a pure function of DataFrames (plus the config) returning a
-lazy DataFrame; materialisation is decided by ``plans.pipeline``.  Column
+lazy DataFrame; materialisation is decided by ``plans.build``.  Column
 order follows the published model contracts.
 """
 

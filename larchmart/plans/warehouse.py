@@ -7,7 +7,7 @@ original build: raw, staging and mart models are written as Parquet the
 first time they are needed and re-read from there (intermediate models stay
 lazy views), so each model is computed once and lineage is cut at every
 table.  ``shared()`` keeps one such instance per session and input folder.
-``Warehouse.from_tables`` wraps models that the pipeline has materialised.
+``Warehouse.from_tables`` wraps models that a build has materialised.
 """
 
 from __future__ import annotations

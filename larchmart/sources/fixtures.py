@@ -21,8 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import ts_text
-from .schemas import ENTITIES, RAW_SCHEMA
+
+from .schemas import ENTITIES
 
 # Fixed values of the mapping.
 INGESTED_AT = "2025-01-01 00:00:00"
@@ -251,4 +251,4 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: to_raw(df) for name, df in source_entities(spark, sf_dir).items()}
 
 
-__all__ = ["RAW_SCHEMA", "raw_tables", "source_entities", "to_documents", "to_raw", "read_table", "ts_text"]
+__all__ = ["raw_tables", "source_entities", "to_documents", "to_raw", "read_table"]

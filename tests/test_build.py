@@ -3,11 +3,10 @@
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from larchmart.config import WarehouseConfig
 from larchmart.operators.quality import QualityGateError
-from larchmart.plans import pipeline
+from larchmart.plans import build as warehouse_build
 
 CFG = WarehouseConfig(categories=("Toys",))
 
@@ -32,7 +31,7 @@ def _raw(raw, dup_order=False):
 
 def test_clean_build_passes_all_checks(spark, raw):
     out = tempfile.mkdtemp(prefix="lm-build-")
-    res = pipeline.build(spark, _raw(raw), CFG, out)
+    res = warehouse_build.build(spark, _raw(raw), CFG, out)
     assert res.failed == []
     report = res.checks
     assert report.count() == 213 and report.where("status = 'fail'").count() == 0
@@ -44,7 +43,7 @@ def test_clean_build_passes_all_checks(spark, raw):
 def test_failing_check_stops_descendants(spark, raw):
     out = tempfile.mkdtemp(prefix="lm-build-")
     with pytest.raises(QualityGateError, match="stg_orders"):
-        pipeline.build(spark, _raw(raw, dup_order=True), CFG, out)
+        warehouse_build.build(spark, _raw(raw, dup_order=True), CFG, out)
     # nothing downstream of the failed model was written
     import os
 
