@@ -75,3 +75,13 @@ def test_declared_check_counts():
         kinds[c.kind] = kinds.get(c.kind, 0) + 1
     assert kinds == {"not_null": 147, "unique": 20, "expression": 18, "accepted_values": 11, "relationships": 11}
     assert len(checks) + len(Q.SINGULAR) == 213
+
+
+def test_warn_severity_does_not_fail(spark):
+    from larchmart.config import WarehouseConfig
+
+    df = spark.createDataFrame([(5, 4), (3, 4)], "retail_price int, unit_cost int")
+    checks = [c for c in Q.declared_checks(WarehouseConfig()) if c.model == "stg_products" and c.severity == "warn"]
+    assert len(checks) == 1
+    r = Q.with_status(Q.run_checks(lambda _: df, checks)).first()
+    assert (r.violations, r.severity, r.status) == (1, "warn", "warn")
