@@ -235,6 +235,36 @@ def unique_check(model: DataFrame, check: Check) -> DataFrame:
     return dupes.agg(F.count(F.lit(1)).alias("v")).select(_result(check, F.col("v")).alias("r")).select("r.*")
 
 
+def unique_checks(model: DataFrame, checks: list[Check]) -> DataFrame:
+    """All ``unique`` checks of one model in one grouped aggregation.
+
+    Each row emits one ``(check index, value as text)`` pair per checked
+    column; counting per pair (partially aggregated before the shuffle)
+    finds the duplicated values of every column at once.  The text form is
+    exact for the key types involved (strings, integers, dates).
+    """
+    if len(checks) == 1:
+        return unique_check(model, checks[0])
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(i).alias("__i"), F.col(c.column).cast("string").alias("__v")) for i, c in enumerate(checks)])
+    )
+    dupes = (
+        model.select(pairs.alias("p"))
+        .select("p.*")
+        .where(F.col("__v").isNotNull())
+        .groupBy("__i", "__v")
+        .count()
+        .where(F.col("count") > 1)
+        .groupBy("__i")
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    row = dupes.agg(
+        *[F.coalesce(F.sum(F.when(F.col("__i") == i, F.col("__n"))), F.lit(0)).alias(f"__c{i}") for i in range(len(checks))]
+    )
+    results = F.array(*[_result(c, F.col(f"__c{i}")) for i, c in enumerate(checks)])
+    return row.select(F.explode(results).alias("r")).select("r.*")
+
+
 def relationship_check(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
     fk = child.select(F.col(check.column).alias("__fk")).where(F.col("__fk").isNotNull())
     pk = parent.select(F.col(check.to_field).alias("__pk"))
@@ -252,16 +282,21 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 def run_checks(tables: Callable[[str], DataFrame], checks: list[Check]) -> DataFrame:
     """Results of ``checks`` (one row each); ``tables(name)`` returns a model."""
     frames: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
+    scans: dict[str, list[Check]] = {}
+    uniques: dict[str, list[Check]] = {}
     for c in checks:
         if c.kind in SCAN_KINDS:
-            by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
+            scans.setdefault(c.model, []).append(c)
+        elif c.kind == "unique":
+            uniques.setdefault(c.model, []).append(c)
+    for model, cs in scans.items():
         frames.append(scan_checks(tables(model), cs))
+    for model, cs in uniques.items():
+        frames.append(unique_checks(tables(model), cs))
+    # one anti join per relationship: a small parent (e.g. the calendar) can
+    # then be broadcast after its size is measured, a large one sort-merged
     for c in checks:
-        if c.kind == "unique":
-            frames.append(unique_check(tables(c.model), c))
-        elif c.kind == "relationships":
+        if c.kind == "relationships":
             frames.append(relationship_check(tables(c.model), tables(c.to_model), c))
     return union_all(frames)
 

@@ -85,3 +85,14 @@ def test_warn_severity_does_not_fail(spark):
     assert len(checks) == 1
     r = Q.with_status(Q.run_checks(lambda _: df, checks)).first()
     assert (r.violations, r.severity, r.status) == (1, "warn", "warn")
+
+
+def test_folded_unique_checks_match_single(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 2, "x"), ("b", 2, None), ("c", 3, None), ("c", 4, "y"), (None, 4, "y")],
+        "s string, n int, t string",
+    )
+    checks = [Q.Check("unique", "m", c) for c in ("s", "n", "t")]
+    folded = res(Q.unique_checks(df, checks))
+    single = {k: v for c in checks for k, v in res(Q.unique_check(df, c)).items()}
+    assert folded == single == {("unique", "s"): 2, ("unique", "n"): 2, ("unique", "t"): 2}
