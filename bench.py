@@ -27,7 +27,7 @@ def main() -> None:
     from larchmart.session import local_session
     from larchmart.sources import fixtures, landing
 
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, int(cpus) * 2))
+    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, int(cpus) * 2))))
     timings: dict[str, float] = {}
 
     # 1. raw layer: source documents -> raw tables, published as one run
