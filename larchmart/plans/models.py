@@ -17,6 +17,7 @@ from ..functions.columns import bool_flag, date_key, days_between, money, pct, s
 from ..operators.joins import point_in_time_lookup
 from ..operators.ranking import distributed_ntile
 from ..operators.scd2 import interval_versions
+from ..session import work_dir
 
 # --------------------------------------------------------------------------
 # intermediate
@@ -455,14 +456,22 @@ def customer_sessions(fct_sess: DataFrame, dim_cust: DataFrame) -> DataFrame:
 
 
 def customer_profile(dim_cust: DataFrame, fct: DataFrame, fct_sess: DataFrame, cfg: WarehouseConfig) -> DataFrame:
-    """Current profile + lifetime rollups + recency against the watermark."""
-    lines = customer_order_lines(fct, dim_cust)
+    """Current profile + lifetime rollups + recency against the watermark.
+
+    The per-customer rollup is computed once and cut from its lineage with a
+    reliable checkpoint (customer grain, in the shared checkpoint folder):
+    the watermark - the latest order instant, i.e. the largest per-customer
+    last order - is then a scalar subquery over that small table instead of
+    a second pass over the order lines.
+    """
+    work_dir(dim_cust.sparkSession)
+    rollup = customer_orders(customer_order_lines(fct, dim_cust)).checkpoint(eager=True)
     # Scalar subquery: evaluated once, then inlined as a literal - no join.
-    watermark = data_watermark(lines).scalar()
+    watermark = rollup.agg(F.max("last_order_at")).scalar()
     cust = current_customers(dim_cust, cfg).select(
         "customer_key", "customer_id", "first_name", "last_name", "email", "city", "state", "country", "created_at"
     )
-    j = cust.join(customer_orders(lines), "customer_id", "left").join(
+    j = cust.join(rollup, "customer_id", "left").join(
         customer_sessions(fct_sess, dim_cust), "customer_id", "left"
     )
     n_orders = F.coalesce(F.col("lifetime_order_count"), F.lit(0).cast("long"))
