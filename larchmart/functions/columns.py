@@ -86,3 +86,12 @@ def avg_half_up(c: Column, in_scale: int, precision: int = 14) -> Column:
     units = F.sum((c * F.lit(10**in_scale)).cast("decimal(38,0)"))
     hundredths = quotient_half_up(units * F.lit(10 ** (2 - in_scale)), F.count(c))
     return (hundredths / F.lit(100)).cast(f"decimal({precision},2)")
+
+
+def pct_exact(numerator: Column, denominator: Column, precision: int = 10) -> Column:
+    """``numerator / denominator * 100`` for 2-dp decimals, HALF_UP to 2 dp,
+    computed in integer cents so the result never depends on the scale
+    Spark assigns to a decimal division of wide sums."""
+    n = (numerator * F.lit(100)).cast("decimal(38,0)")
+    d = (denominator * F.lit(100)).cast("decimal(38,0)")
+    return (quotient_half_up(n * F.lit(10000), d) / F.lit(100)).cast(f"decimal({precision},2)")
