@@ -206,7 +206,7 @@ _SHARED_LOCK = threading.Lock()
 
 def shared(spark: SparkSession, sf_dir: str, cfg: WarehouseConfig = FIXTURE_CONFIG) -> Warehouse:
     """The session's materialising warehouse over the tables in ``sf_dir``."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), repr(cfg))
+    key = (spark.conf.get("spark.app.id", None) or id(spark), os.path.abspath(sf_dir), repr(cfg))
     with _SHARED_LOCK:
         wh = _SHARED.get(key)
         if wh is None:

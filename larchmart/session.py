@@ -37,7 +37,13 @@ def work_dir(spark: SparkSession) -> str:
     folder of its own; on a cluster an unset directory is an error, because a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this job") from None
+        return conf
     current = sc.getCheckpointDir()
     if current:
         return current
