@@ -69,3 +69,17 @@ def test_results_independent_of_partitioning(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a is not None
     assert sorted(map(tuple, one)) == sorted(map(tuple, eight))
+
+
+def test_dimension_independent_of_input_order(spark):
+    """Metamorphic: reshuffling the profile events leaves dim_customers unchanged."""
+    from pyspark.sql import functions as F
+
+    from larchmart.config import FIXTURE_CONFIG
+    from larchmart.plans import models as M
+    from larchmart.plans.warehouse import Warehouse
+
+    stg = Warehouse.from_driver_tables(spark, "/root/testdata/sf0.001").table("stg_customers")
+    a = M.dim_customers(stg, FIXTURE_CONFIG)
+    b = M.dim_customers(stg.repartition(7).orderBy(F.rand(seed=3)), FIXTURE_CONFIG)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
