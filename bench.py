@@ -42,7 +42,8 @@ def main() -> None:
     # 2. build every model with its checks (gated)
     t = time.time()
     out_root = landing.new_run_folder(spark, "warehouse")
-    result = warehouse_build.build(spark, raw, FIXTURE_CONFIG, out_root, gate=False)
+    views = os.environ.get("BENCH_MATERIALIZE_VIEWS", "0") == "1"
+    result = warehouse_build.build(spark, raw, FIXTURE_CONFIG, out_root, gate=False, materialize_views=views)
     timings["build_and_test"] = time.time() - t
     for k, v in result.timings.items():
         timings[k] = v
