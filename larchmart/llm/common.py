@@ -63,11 +63,10 @@ def arrow_map(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
-def fresh(df: DataFrame, *names: str) -> None:
-    """Refuse an input whose own columns would be overwritten by added ones."""
-    clash = sorted(set(n.lower() for n in names) & set(c.lower() for c in df.columns))
-    if clash:
-        raise ValueError(f"columns {clash} are already there")
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without columns that would clash with added ones of these names."""
+    low = {n.lower() for n in names}
+    return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in low])
 
 
 def text_or_empty(col: str = "text"):

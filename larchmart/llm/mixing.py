@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, fresh, ship, table, text_or_empty
+from .common import WORD, cut, ship, table, text_or_empty, without
 from ..operators.ranking import global_rank
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -167,13 +167,13 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float =
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, fan_in: int = FAN_IN) -> DataFrame:
     """The mixed documents: every row of ``docs`` as often as the mix takes it."""
-    fresh(docs, "__size", "__copies")
+    docs = without(docs, "__size", "__copies", "__copy", "__id", "__source", "__n")
     plan = mix_plan(docs, weights, cap, fan_in).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__n"), F.col("copies").alias("__copies"))
     plan = cut(plan.where("__copies > 0"), "copies")
     sized = docs.withColumn("__size", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source")) & (F.col("__size") == F.col("__n"))
     taken = sized.join(plan, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return taken.select(*docs.columns)
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

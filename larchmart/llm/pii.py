@@ -14,8 +14,8 @@ so a very long run of digits or letters is scanned once.
 
 Defined results: a null text is an empty text without spans; ties cannot
 occur (spans of a kind do not overlap); repeated rows are rows of their own;
-an empty table gives an empty result; other columns are kept as they are, and
-columns that would clash with added ones are refused.
+an empty table gives an empty result; other columns are kept, one
+named like an added column is replaced by it.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, table, text_or_empty
+from .common import table, text_or_empty, without
 
 # The patterns of the base kinds (email, ip, card, phone), here
 # with possessive repeats and, for email and ip, a start at the beginning of a
@@ -159,7 +159,7 @@ def _confirmed(kind: str, t: Column, placed: Column) -> Column:
 def find_pii(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
     """``docs`` with an array column ``out`` of its kept spans: kind, start,
     end (code points, end exclusive), score; by kind as listed, then start."""
-    fresh(docs, out, *[f"__{k}_{x}" for k in PATTERNS for x in "mg"])
+    docs = without(docs, out, *[f"__{k}_{x}" for k in PATTERNS for x in "mg"])
     t = text_or_empty(text)
     span_type = "array<struct<kind:string,start:int,end:int,score:double>>"
     found = docs
@@ -173,7 +173,7 @@ def find_pii(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame
         m, g = F.col(f"__{kind}_m"), F.col(f"__{kind}_g")
         kept = _confirmed(kind, t, _placed(g, m))
         spans.append(F.when(F.size(m) > 0, kept).otherwise(F.array().cast(span_type)))
-    return found.select(*docs.columns, F.concat(*spans).alias(out))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.concat(*spans).alias(out))
 
 
 def mask_pii(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:

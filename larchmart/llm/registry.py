@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .extraction import op5_extraction
+from .fingerprints import op6_fingerprints
 from .mixing import op1_mixing
+from .ngram_join import op9_ngram_join
 from .packing import op8_packing
 from .pii import op4_pii
+from .quality import op7_quality
 from .sharding import op3_sharding
+from .toxicity import op10_toxicity
+from .warc import op2_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mixing, op3_sharding, op4_pii, op8_packing)
-}
+    for f in (
+        op1_mixing, op2_warc, op3_sharding, op4_pii, op5_extraction, op6_fingerprints, op7_quality, op8_packing, op9_ngram_join, op10_toxicity,
+    )
+}
 ORACLE: dict[str, str] = {}

@@ -94,28 +94,29 @@ def split_bytes(data: np.ndarray, offsets: np.ndarray) -> Batch:
     return Batch(data, offsets, start, end, doc, first)
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end] for every span; the spans' starts ascend."""
-    out = np.zeros(len(start), _U)
+def span_hashes(data: np.ndarray, start: np.ndarray, ends: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of data[start:end] for every span and each array of ends (the
+    longest first); the spans' starts ascend."""
+    out = [np.zeros(len(start), _U) for _ in ends]
     at = 0
     while at < len(start):
         base = int(start[at])
         stop = max(at + 1, int(np.searchsorted(start, base + _BLOCK, "right")))
-        while stop > at + 1 and int(end[at:stop].max()) - base > _BLOCK:
-            stop = at + (stop - at) // 2 if stop - at > 1 else at + 1
-        top = int(end[at:stop].max())
-        span = top - base
+        while stop > at + 1 and int(ends[0][at:stop].max()) - base > _BLOCK:
+            stop = at + (stop - at) // 2
+        span = int(ends[0][at:stop].max()) - base
         pw, inv = (_POW, _INVPOW) if span <= _BLOCK else (_powers(_BASE, span + 1), _powers(_INV, span + 1))
         sums = np.zeros(span + 1, _U)
-        np.cumsum((data[base:top].astype(_U) + _U(1)) * pw[:span], out=sums[1:])
-        a, b = start[at:stop] - base, end[at:stop] - base
-        out[at:stop] = mix((sums[b] - sums[a]) * inv[a])
+        np.cumsum((data[base : base + span].astype(_U) + _U(1)) * pw[:span], out=sums[1:])
+        a = start[at:stop] - base
+        for h, end in zip(out, ends, strict=True):
+            h[at:stop] = mix((sums[end[at:stop] - base] - sums[a]) * inv[a])
         at = stop
     return out
 
 
 def word_hashes(b: Batch) -> np.ndarray:
-    return span_hashes(b.data, b.start, b.end)
+    return span_hashes(b.data, b.start, [b.end])[0]
 
 
 def ngrams(b: Batch, words: np.ndarray, n: int, short: bool) -> tuple[np.ndarray, np.ndarray]:
