@@ -23,6 +23,7 @@ is replaced by it.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,8 +36,8 @@ from pyspark.sql import types as T
 from .common import arrow_map, chunks, table, without
 from .wordhash import distinct, ngrams, span_hashes, split_words, word_hashes
 
-SAMPLE_TOXIC = 1500
-SAMPLE_OTHER = 2500
+SAMPLE_TOXIC = 1200
+SAMPLE_OTHER = 1800
 SAMPLE_CHARS = 100_000
 LIMIT = 0.7
 #: Weights of the chain; features are hashed into them.
@@ -64,6 +65,10 @@ class Model:
     constant: float | None = None  # the score of all, where nothing could be fitted
 
 
+def constant_model(score: float) -> Model:
+    return Model(np.zeros(0), 0.0, np.zeros((2, 2)), np.zeros(4), score)
+
+
 def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
@@ -153,10 +158,10 @@ def copy_groups(texts: pa.Array) -> np.ndarray:
 def _evidence(doc: np.ndarray, feats: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Buckets found much more often in toxic than in other documents; ``doc``
     names the document (one for all its copies) of each token."""
-    key = np.unique(np.repeat(doc, feats.shape[1]).astype(np.int64) * BUCKETS + feats.ravel())
-    d, bucket = key // BUCKETS, key % BUCKETS
-    in_toxic = np.bincount(bucket[toxic[d]], minlength=BUCKETS).astype(float)
-    in_other = np.bincount(bucket[~toxic[d]], minlength=BUCKETS).astype(float)
+    in_toxic, in_other = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    order = np.argsort(doc, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(doc[order])) + 1):
+        (in_toxic if toxic[doc[rows[0]]] else in_other)[np.unique(feats[rows])] += 1
     base = np.bincount(np.unique(doc), minlength=len(toxic)) > 0
     n_toxic, n_other = (base & toxic).sum(), (base & ~toxic).sum()
     rate = (in_toxic / max(n_toxic, 1)) / ((in_other + 0.5) / max(n_other, 1))
@@ -260,18 +265,30 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     counts = {r["__toxic"]: r["n"] for r in per.groupBy("__toxic").agg(F.count(F.lit(1)).alias("n")).where("__toxic IN (0, 1)").collect()}
     n_toxic, n_other = counts.get(1, 0), counts.get(0, 0)
     if not n_toxic or not n_other:
-        return Model(np.zeros(0), 0.0, np.zeros((2, 2)), np.zeros(4), float(bool(n_toxic)))
+        return constant_model(float(bool(n_toxic)))
     order = F.xxhash64("__id")
     ids = per.where("__toxic = 1").orderBy(order, "__id").limit(SAMPLE_TOXIC).unionByName(per.where("__toxic = 0").orderBy(order, "__id").limit(SAMPLE_OTHER))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # the ids are at most SAMPLE_TOXIC + SAMPLE_OTHER rows
     rows = docs.select("doc_id", text.alias("text")).where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))
-    rows = rows.dropDuplicates(["doc_id"]).orderBy(order, "doc_id").select("text", "__toxic").limit(SAMPLE_TOXIC + SAMPLE_OTHER).collect()
-    toxic = np.array([r["__toxic"] == 1 for r in rows], bool)
-    if not toxic.any() or toxic.all():
-        return Model(np.zeros(0), 0.0, np.zeros((2, 2)), np.zeros(4), float(toxic.any()))
-    weight = np.where(toxic, n_toxic / toxic.sum(), n_other / (~toxic).sum())
-    return fit_sample([r["text"] for r in rows], toxic, weight * len(rows) / weight.sum())
+    weight = F.when(F.col("__toxic") == 1, F.lit(n_toxic / min(n_toxic, SAMPLE_TOXIC))).otherwise(F.lit(n_other / min(n_other, SAMPLE_OTHER)))
+    rows = rows.dropDuplicates(["doc_id"]).orderBy(order, "doc_id").limit(SAMPLE_TOXIC + SAMPLE_OTHER).select("text", "__toxic", weight.alias("weight"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = list(batches)  # the whole bounded sample
+        if not sample:
+            return
+        t = pa.Table.from_batches(sample)
+        toxic = t.column(1).to_numpy() == 1
+        if not toxic.any() or toxic.all():
+            model = constant_model(float(toxic.any()))
+        else:
+            weight = t.column(2).to_numpy()
+            model = fit_sample(t.column(0).to_pylist(), toxic, weight * len(weight) / weight.sum())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    fitted = arrow_map(rows, run, "model binary").collect()  # one model of BUCKETS weights
+    return pickle.loads(fitted[0]["model"]) if fitted else constant_model(0.0)
 
 
 _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("p", T.DoubleType())]))
