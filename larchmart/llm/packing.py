@@ -189,8 +189,10 @@ def plan_rounds(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Itera
 
 def _planner(capacity: int):
     def plan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hist = pd.concat(list(frames))  # at most `capacity` rows
-        hist = hist.sort_values("length", ascending=False)
+        runs = list(frames)  # at most `capacity` rows in all
+        if not runs:
+            return
+        hist = pd.concat(runs).sort_values("length", ascending=False)
         rows = list(plan_rounds(hist["length"].to_numpy(), hist["n"].to_numpy(), capacity))
         yield pd.DataFrame(rows, columns=["plan_length", "rank_from", "rank_to", "first_sequence", "offset"], dtype="int64")
 
