@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from datetime import date, datetime
 
 # Fixed values that must equal the original project's for identical results:
@@ -43,12 +43,6 @@ class WarehouseConfig:
     keep_orphans: bool = False
     # NTILE bucket count for the RFM scores.
     rfm_tiles: int = 5
-    # Point-in-time join strategy: "join" (equi + range residual), "merge"
-    # (as-of merge), or "auto" = merge only when some customer has more than
-    # ``pit_merge_above_versions`` versions.
-    pit_strategy: str = "auto"
-    pit_merge_above_versions: int = 10_000
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "WarehouseConfig":
         return replace(self, **kw)

@@ -1,24 +1,22 @@
-"""Join operators: point-in-time (as-of interval) join and key lookup.
+"""Join operators: point-in-time (as-of interval) join.
 
 ``point_in_time_join`` is an equi-join on the natural key with the validity
 interval as a residual predicate.  It needs no custom physical operator:
 Catalyst plans it as a sort-merge (or shuffle-hash) join on the key, the
 range predicate is evaluated per candidate pair of the same key, and AQE's
 skew-join handling can split a hot key on the streamed (fact) side because
-left outer joins allow splitting the left input.  Because versions of one key
-never overlap, every fact row matches at most one version: no fan-out.
+left outer joins allow splitting the left input.  It is the one plan for every
+input: a fact inside two overlapping versions matches both, so that the check
+that ties facts to their source can see the overlap.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_HINTS = {None, "merge", "shuffle_hash", "broadcast"}
-
-
 def point_in_time_join(
     fact: DataFrame,
     versions: DataFrame,
@@ -29,191 +27,24 @@ def point_in_time_join(
     version_key: str | None = None,
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
-    how: str = "left",
-    hint: str | None = None,
 ) -> DataFrame:
     """Attach to each fact row the version of ``key`` valid at ``fact[ts]``.
 
     A version is valid on ``[valid_from, valid_to)``; a NULL ``valid_to`` is
     open-ended.  A NULL ``ts`` never matches.  ``take`` names the version
-    columns to carry over.  ``hint`` forces a join strategy; ``broadcast``
-    must only be used when the version table has a proven size bound.
+    columns to carry over.  A fact without a version keeps NULLs.
     """
-    if hint not in _HINTS:
-        raise ValueError(f"unknown join hint {hint!r}")
     v = versions.select(
         F.col(version_key or key).alias("__pit_key"),
         F.col(valid_from).alias("__pit_from"),
         F.col(valid_to).alias("__pit_to"),
         *[F.col(c) for c in take],
     )
-    if hint:
-        v = v.hint(hint)
     f = fact.alias("__pit_f")
     cond = (
         (F.col(f"__pit_f.{key}") == v["__pit_key"])
         & (F.col(f"__pit_f.{ts}") >= v["__pit_from"])
         & (v["__pit_to"].isNull() | (F.col(f"__pit_f.{ts}") < v["__pit_to"]))
     )
-    joined = f.join(v, cond, how)
+    joined = f.join(v, cond, "left")
     return joined.select(*[F.col(f"__pit_f.{c}") for c in fact.columns], *[v[c] for c in take])
-
-
-def lookup_key(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str,
-    key_col: str,
-    unknown: str | int,
-    *,
-    out: str | None = None,
-) -> DataFrame:
-    """Left-join ``dim`` on ``on`` and route failed lookups to ``unknown``."""
-    d = dim.select(F.col(on).alias("__lk_on"), F.col(key_col).alias("__lk_key"))
-    j = fact.join(d, fact[on] == d["__lk_on"], "left")
-    return j.select(*[fact[c] for c in fact.columns], F.coalesce(d["__lk_key"], F.lit(unknown)).alias(out or key_col))
-
-
-def unknown_or(col: Column, unknown) -> Column:
-    return F.coalesce(col, F.lit(unknown))
-
-
-# --------------------------------------------------------------------------
-# as-of merge: the point-in-time join without per-key candidate pairs
-# --------------------------------------------------------------------------
-
-
-def asof_merge_join(
-    fact: DataFrame,
-    versions: DataFrame,
-    key: str,
-    ts: str,
-    take: Sequence[str],
-    *,
-    version_key: str | None = None,
-    valid_from: str = "valid_from",
-    valid_to: str = "valid_to",
-    partitions: int | None = None,
-) -> DataFrame:
-    """Left point-in-time join by merging facts and versions in time order.
-
-    Same result as ``point_in_time_join(how="left")`` when the versions of a
-    key do not overlap (the SCD2 contract, checked by the overlap check), but
-    without comparing a fact with every version of its key:
-
-    1. facts and versions are unioned and range-partitioned on
-       ``(key, instant, kind)`` (versions sort before facts at the same
-       instant); every partition is a contiguous slice of that order, so a key
-       hot on either side is spread over many slices; the slices are tagged
-       and cut from lineage with a reliable ``checkpoint``;
-    2. per (slice, key), each fact carries forward the last version seen;
-    3. a fact whose version began in an earlier slice gets it from a table
-       with one row per slice (bounded by the partition count, broadcast);
-    4. the carried version applies if the fact's instant is before its end.
-    """
-    from ..session import work_dir
-
-    spark = fact.sparkSession
-    work_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ver_fields = [F.col(valid_to).alias("__to"), *[F.col(c) for c in take]]
-    ver_type = versions.select(F.struct(*ver_fields).alias("v")).schema["v"].dataType
-    fact_type = fact.select(F.struct(*[F.col(c) for c in fact.columns]).alias("f")).schema["f"].dataType
-    vk = F.col(version_key or key)
-    v = versions.where(vk.isNotNull() & F.col(valid_from).isNotNull()).select(
-        vk.alias("__key"),
-        F.col(valid_from).alias("__t"),
-        F.lit(0).alias("__kind"),
-        F.struct(*ver_fields).alias("__ver"),
-        F.lit(None).cast(fact_type).alias("__fact"),
-    )
-    f = fact.select(
-        F.col(key).alias("__key"),
-        F.col(ts).alias("__t"),
-        F.lit(1).alias("__kind"),
-        F.lit(None).cast(ver_type).alias("__ver"),
-        F.struct(*[F.col(c) for c in fact.columns]).alias("__fact"),
-    )
-    order = [F.col("__key"), F.col("__t"), F.col("__kind")]
-    sliced = (
-        v.unionByName(f)
-        .repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
-    # per slice: first key, last key, and the last version of the last key
-    ends = sliced.groupBy(F.col("__pid").alias("__e")).agg(F.min("__mid").alias("__m0"), F.max("__mid").alias("__m1"))
-    firsts = sliced.join(F.broadcast(ends), (F.col("__pid") == F.col("__e")) & (F.col("__mid") == F.col("__m0"))).select(
-        "__pid", F.col("__key").alias("__first_key")
-    )
-    lasts = sliced.join(F.broadcast(ends), (F.col("__pid") == F.col("__e")) & (F.col("__mid") == F.col("__m1"))).select(
-        F.col("__pid").alias("__lp"), F.col("__key").alias("__last_key")
-    )
-    end_ver = (
-        sliced.where(F.col("__kind") == 0)
-        .join(F.broadcast(lasts), (F.col("__pid") == F.col("__lp")) & F.col("__key").eqNullSafe(F.col("__last_key")))
-        .groupBy(F.col("__pid").alias("__vp"))
-        .agg(F.max_by("__ver", "__mid").alias("__end_ver"))
-    )
-    per_slice = (
-        firsts.join(lasts, F.col("__pid") == F.col("__lp"))
-        .join(end_ver, F.col("__pid") == F.col("__vp"), "left")
-        .select("__pid", "__first_key", "__last_key", "__end_ver")
-    )
-    # tables below hold one row per slice: single-task windows bounded by n
-    run = Window.partitionBy("__last_key").orderBy("__pid").rowsBetween(Window.unboundedPreceding, 0)
-    per_slice = per_slice.withColumn("__run_ver", F.last("__end_ver", ignorenulls=True).over(run))
-    by_pid = Window.orderBy("__pid")
-    edges = per_slice.select(
-        F.col("__pid").alias("__g"),
-        "__first_key",
-        F.when(
-            F.lag("__last_key").over(by_pid).eqNullSafe(F.col("__first_key")) & F.lag("__pid").over(by_pid).isNotNull(),
-            F.lag("__run_ver").over(by_pid),
-        ).alias("__carry_in"),
-    )
-    w = Window.partitionBy("__pid", "__key").orderBy("__t", "__kind", "__mid").rowsBetween(Window.unboundedPreceding, 0)
-    facts = sliced.withColumn("__carry", F.last("__ver", ignorenulls=True).over(w)).where(F.col("__kind") == 1)
-    j = facts.join(F.broadcast(edges), F.col("__pid") == F.col("__g"))
-    ver = F.coalesce(F.col("__carry"), F.when(F.col("__key").eqNullSafe(F.col("__first_key")), F.col("__carry_in")))
-    applies = F.col("__t").isNotNull() & F.col("__key").isNotNull() & ver.isNotNull() & (
-        ver["__to"].isNull() | (F.col("__t") < ver["__to"])
-    )
-    matched = F.when(applies, ver)
-    return j.select(*[F.col(f"__fact.{c}").alias(c) for c in fact.columns], *[matched[c].alias(c) for c in take])
-
-
-def max_versions_per_key(versions: DataFrame, key: str) -> int:
-    """Largest number of versions any key has (one aggregate, partial before
-    its shuffle; the result is a single number)."""
-    return versions.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-
-
-def point_in_time_lookup(
-    fact: DataFrame,
-    versions: DataFrame,
-    key: str,
-    ts: str,
-    take: Sequence[str],
-    *,
-    strategy: str = "auto",
-    merge_above_versions: int = 10_000,
-    **kw,
-) -> DataFrame:
-    """Left point-in-time join choosing the physical strategy.
-
-    ``join``: equi-join + validity residual (sort-merge; AQE splits hot
-    fact keys).  ``merge``: ``asof_merge_join``.  ``auto``: ``merge`` only if
-    some key has more than ``merge_above_versions`` versions - the case in
-    which per-key candidate comparisons would grow quadratically.
-    """
-    if strategy == "auto":
-        vk = kw.get("version_key") or key
-        strategy = "merge" if max_versions_per_key(versions, vk) > merge_above_versions else "join"
-    if strategy == "merge":
-        return asof_merge_join(fact, versions, key, ts, take, **kw)
-    if strategy == "join":
-        return point_in_time_join(fact, versions, key, ts, take, how="left", **kw)
-    raise ValueError(f"unknown strategy {strategy!r}")

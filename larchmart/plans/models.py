@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import WarehouseConfig
 from ..functions.columns import bool_flag, date_key, days_between, money, pct, surrogate_key, ts_text
-from ..operators.joins import point_in_time_lookup
+from ..operators.joins import point_in_time_join
 from ..operators.ranking import distributed_ntile
 from ..operators.scd2 import interval_versions
 from ..session import work_dir
@@ -279,10 +279,7 @@ def fct_orders(margins: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame, cfg
     products = dim_prod.select("product_key", "product_id")
     with_product = margins.join(products, "product_id", "left")
     versions = dim_cust.select("customer_key", "customer_id", "valid_from", "valid_to")
-    j = point_in_time_lookup(
-        with_product, versions, "customer_id", "order_date", ["customer_key"],
-        strategy=cfg.pit_strategy, merge_above_versions=cfg.pit_merge_above_versions,
-    )
+    j = point_in_time_join(with_product, versions, "customer_id", "order_date", ["customer_key"])
     return j.select(
         surrogate_key("order_item_id").alias("fct_order_item_key"),
         "order_item_id",
@@ -309,10 +306,7 @@ def fct_orders(margins: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame, cfg
 def fct_sessions(sessions: DataFrame, dim_cust: DataFrame, cfg: WarehouseConfig) -> DataFrame:
     """Session fact: customer version in force when the session started."""
     versions = dim_cust.select("customer_key", "customer_id", "valid_from", "valid_to")
-    j = point_in_time_lookup(
-        sessions, versions, "customer_id", "session_start", ["customer_key"],
-        strategy=cfg.pit_strategy, merge_above_versions=cfg.pit_merge_above_versions,
-    )
+    j = point_in_time_join(sessions, versions, "customer_id", "session_start", ["customer_key"])
     return j.select(
         surrogate_key("session_id").alias("session_key"),
         "session_id",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import oracle as O
 from ..config import FIXTURE_CONFIG
 from ..functions.columns import date_key, days_between, surrogate_key, ts_text
-from ..operators.joins import point_in_time_lookup
+from ..operators.joins import point_in_time_join
 from ..operators.scd2 import interval_versions
 from ..operators.staging import json_extract
 from ..sources import fixtures
@@ -288,11 +288,7 @@ def pit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     versions = interval_versions(signups, "user_id", "ts", anchor=FIXTURE_CONFIG.beginning_of_time)
     facts = ev.where(F.col("event_type") != "signup").select("event_id", "user_id", "ts")
-    cfg = FIXTURE_CONFIG
-    j = point_in_time_lookup(
-        facts, versions, "user_id", "ts", ["signup_event_id"],
-        strategy=cfg.pit_strategy, merge_above_versions=cfg.pit_merge_above_versions,
-    )
+    j = point_in_time_join(facts, versions, "user_id", "ts", ["signup_event_id"])
     return j.select("event_id", "user_id", "ts", F.coalesce("signup_event_id", F.lit(-1).cast("long")).alias("signup_event_id"))
 
 

@@ -88,9 +88,9 @@ def q4_monthly(daily: DataFrame, calendar: DataFrame) -> DataFrame:
     """Monthly trading performance from the daily snapshot.
 
     The calendar holds one row per day of its spine - bounded by the calendar,
-    not by the order volume - so it is broadcast.
+    not by the order volume; whether it is broadcast is left to its measured size.
     """
-    cal = F.broadcast(calendar.select("date_key", "year", "month", "month_name"))
+    cal = calendar.select("date_key", "year", "month", "month_name")
     j = daily.join(cal, "date_key")
     return (
         j.groupBy("year", "month", "month_name")
