@@ -80,11 +80,11 @@ def likeness(a: np.ndarray, a_blank: np.ndarray, b: np.ndarray, b_blank: np.ndar
     return np.where(a_blank | b_blank, (a_blank & b_blank).astype(float), near)
 
 
-def _hex(sketch: np.ndarray, blank: np.ndarray) -> pa.Array:
-    return pa.array(["" if e else s.tobytes().hex() for s, e in zip(sketch, blank, strict=True)], pa.string())
+def _packed(sketch: np.ndarray, blank: np.ndarray) -> pa.Array:
+    return pa.array([b"" if e else s.tobytes() for s, e in zip(sketch, blank, strict=True)], pa.binary())
 
 
-_OUT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_OUT = "n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 _NAMES = [x.split()[0] for x in _OUT.split(", ")]
 
 
@@ -102,13 +102,13 @@ def _compared(texts: list[str], following: list[str]) -> list[pa.Array]:
     return [
         pa.array([len(t) for t in texts], pa.int64()),
         pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited], pa.string()),
-        _hex(own, own_blank), _hex(ed, ed_blank),
+        _packed(own, own_blank), _packed(ed, ed_blank),
         pa.array(likeness(own, own_blank, ed, ed_blank)), pa.array(likeness(own, own_blank, nxt, nxt_blank)),
     ]
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, both fingerprints, near_edited and
+    """doc_id, n_chars, edited_sha256, both fingerprints (packed), near_edited and
     near_next of every row, the next document being that of the next lower id
     (after the lowest: the highest).
 
@@ -134,7 +134,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
         def edges(which: int) -> pa.RecordBatch:
             at = 0 if which == 1 else -1
-            empty = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
+            empty = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64())]
             more = [pa.array([which], pa.int32()), pa.array([slice_no], pa.int32()), pa.array([texts[at]], pa.string())]
             return pa.RecordBatch.from_arrays([pa.array([ids[at]], id_type), *empty, *more], ["doc_id", *_NAMES, "edge", "slice", "text"])
 
@@ -174,4 +174,5 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint_documents(table(spark, sf_dir, "documents"))
+    out = fingerprint_documents(table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
