@@ -11,9 +11,10 @@ and classes are joined:
    in common that is exactly the same; a tile is (band, part, content).  Parts
    that are empty count only for sets with more empty parts than there are
    parts to spare.  No pair above the threshold can be missed.
-2. Within a tile each class is first compared with the tile's least one only.
-   Classes that this leaves in different components of a tile are compared
-   with each other, in blocks of bounded size.
+2. Classes that tiles connect form a group.  A group of more than a block is
+   first thinned: each tile's classes are compared with the tile's least one.
+   Then the classes that are still in different components of their group are
+   compared with each other, in pairs of blocks of bounded size.
 3. A comparison first bounds the overlap from hashed bitmaps: a bit of one and
    not of the other is a shingle of one and not of the other.  What passes is
    decided by intersecting the sorted arrays.
@@ -44,8 +45,8 @@ SHINGLE = 3
 #: Threshold as a fraction: linked when DEN * intersection >= NUM * union.
 NUM, DEN = 9, 10
 BAND_RATIO = 1.5
-BITMAP_BITS = 2048
-BLOCK = 1024
+BITMAP_BITS = 4096
+BLOCK = 512
 
 _U = np.uint64
 _EDGES = [1]
@@ -110,9 +111,9 @@ def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarra
 
 
 def tile_members(docs: DataFrame) -> DataFrame:
-    """tile, class, root: a class is in tile ``root``.  If several classes of a
-    batch share it, the least stands for them there and is tied to the others
-    in a tile of the batch's own."""
+    """tile, class: a class is in a tile.  If several classes of a batch share
+    one, the least stands for them there and is tied to the others in a tile of
+    the batch's own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -135,35 +136,11 @@ def tile_members(docs: DataFrame) -> DataFrame:
                 [
                     pa.array(np.concatenate([tile[head], sub[tied], sub[lead]])),
                     pa.array(np.concatenate([cls[head], cls[tied], cls[lead]])),
-                    pa.array(np.concatenate([tile[head], tile[tied], tile[lead]])),
                 ],
-                ["tile", "class", "root"],
+                ["tile", "class"],
             )
 
-    return arrow_map(docs.select(text_or_empty().alias("text")), run, "tile long, class long, root long")
-
-
-def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """class, n, bitmap, items of the classes in ``wanted`` (class, doc_id,
-    text_hash: one row that has the set)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = BITMAP_BITS // 64
-        for batch in chunks(batches):
-            doc, h, n, _ = _sets(batch.column(1))
-            bit = (mix(h, 37) % _U(BITMAP_BITS)).astype(np.int64)
-            bitmap = np.zeros(len(n) * words, _U)
-            np.bitwise_or.at(bitmap, doc * words + bit // 64, _U(1) << (bit % 64).astype(_U))
-            first = np.concatenate([[0], np.cumsum(n)])
-            rows = range(len(n))
-            bits = [bitmap[i * words : (i + 1) * words].tobytes() for i in rows]
-            items = [h[first[i] : first[i + 1]].tobytes() for i in rows]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int64)), pa.array(bits, pa.binary()), pa.array(items, pa.binary())], ["class", "n", "bitmap", "items"])
-
-    w = wanted.select("class", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    src = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    found = src.join(w, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
-    return arrow_map(found.select("class", "text").dropDuplicates(["class"]), run, "class long, n long, bitmap binary, items binary")
+    return arrow_map(docs.select(text_or_empty().alias("text")), run, "tile long, class long")
 
 
 def _need(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -171,50 +148,74 @@ def _need(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     return -((-NUM * (n_a + n_b)) // (NUM + DEN))
 
 
-def _bits(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
-
-
 def _may_link(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether the bitmaps leave room for the overlap that a link needs."""
     only_a = np.bitwise_count(a & ~b).sum(axis=-1, dtype=np.int64)
     only_b = np.bitwise_count(b & ~a).sum(axis=-1, dtype=np.int64)
     return np.minimum(n_a - only_a, n_b - only_b) >= _need(n_a, n_b)
 
 
-def _joined(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    def side(x: str) -> DataFrame:
-        return sets.select(F.col("class").alias(f"__{x}"), F.col("n").alias(f"n_{x}"), F.col(column).alias(f"v_{x}"))
-
-    return pairs.join(side("a"), F.col("a") == F.col("__a")).join(side("b"), F.col("b") == F.col("__b")).select("a", "b", "n_a", "n_b", "v_a", "v_b")
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.sort(np.concatenate([a, b]), kind="stable")  # merges two sorted arrays
+    return int((both[1:] == both[:-1]).sum())
 
 
-def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that the bitmaps do not rule out."""
+def compare_group(side: np.ndarray, cls: np.ndarray, label: np.ndarray, texts: pa.Array) -> list[tuple[int, int]]:
+    """Links that join the components of a group's classes: across its two
+    sides if it has two, else among all.  A pair that is already connected,
+    by its labels or by links found here, is not compared."""
+    doc, h, n, _ = _sets(texts)
+    words = BITMAP_BITS // 64
+    bit = (mix(h, 37) % _U(BITMAP_BITS)).astype(np.int64)
+    bits = np.zeros(len(n) * words, _U)
+    np.bitwise_or.at(bits, doc * words + bit // 64, _U(1) << (bit % 64).astype(_U))
+    bits = bits.reshape(len(n), words)
+    first = np.concatenate([[0], np.cumsum(n)])
+    order = np.argsort(n, kind="stable")
+    side, cls, n, bits, begin = side[order], cls[order], n[order], bits[order], first[:-1][order]
+    _, part = np.unique(label[order], return_inverse=True)  # component of each row, merged as links are found
+    across = side.min() != side.max()
+    links = []
+    for i in range(len(n) - 1):
+        stop = int(np.searchsorted(n, n[i] * DEN // NUM, "right"))
+        j = np.arange(i + 1, stop)
+        j = j[(part[j] != part[i]) & ((side[j] != side[i]) | (not across))]
+        if not len(j):
+            continue
+        for k in j[_may_link(bits[i], n[i], bits[j], n[j])]:
+            if part[k] != part[i] and _overlap(h[begin[i] : begin[i] + n[i]], h[begin[k] : begin[k] + n[k]]) >= _need(n[i], n[k]):
+                links.append((int(cls[i]), int(cls[k])))
+                part[part == part[k]] = part[i]
+    return links
+
+
+def group_links(rows: DataFrame) -> DataFrame:
+    """Links (a, b) found by ``compare_group`` in every group (g, lo, hi) of
+    ``rows``, which also have side, class, label and text."""
+    names = ["g", "lo", "hi", "side", "class", "label", "text"]
+    sorted_rows = rows.select(*names).repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_a, n_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            keep = pa.array(_may_link(_bits(batch.column(4)), n_a, _bits(batch.column(5)), n_b))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
-
-    j = _joined(pairs, sets, "bitmap").where((F.least("n_a", "n_b") * DEN >= F.greatest("n_a", "n_b") * NUM))
-    return arrow_map(j, run, "a long, b long")
-
+        held: pa.Table | None = None
 
-def exact(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
+        def out(group: pa.Table) -> pa.RecordBatch:
+            side, cls, label = (group.column(c).to_numpy() for c in (3, 4, 5))
+            links = compare_group(side, cls, label, group.column(6).combine_chunks())
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for n_a, n_b, v_a, v_b in zip(*[batch.column(c) for c in (2, 3, 4, 5)], strict=True):
-                a, b = np.frombuffer(v_a.as_buffer(), np.uint64), np.frombuffer(v_b.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([a, b]), kind="stable")  # merges the two sorted arrays
-                keep.append(int((both[1:] == both[:-1]).sum()) >= int(_need(n_a.as_py(), n_b.as_py())))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            key = [t.column(c).to_numpy() for c in (0, 1, 2)]
+            begin = 0
+            for stop in np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key])) + 1:
+                yield out(t.slice(begin, int(stop) - begin))
+                begin = int(stop)
+            held = t.slice(begin)
+        if held is not None and held.num_rows:
+            yield out(held)
 
-    return arrow_map(_joined(pairs, sets, "items"), run, "a long, b long")
+    return arrow_map(sorted_rows, run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -235,87 +236,52 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def unresolved_blocks(shared: DataFrame, labels: DataFrame, block: int) -> DataFrame:
-    """Rows of the tiles that hold more than one component: root, lo, hi (the
-    two blocks that a group compares), block, class, label.  Of tiles with the
-    very same classes one is kept."""
-    known = labels.select(F.col("class").alias("__c"), "label")
-    members = cut(shared.select("root", "class").distinct().join(known, F.col("class") == F.col("__c"), "left").select("root", "class", F.coalesce("label", "class").alias("label")), "members")
-    roots = members.groupBy("root").agg(
-        F.count(F.lit(1)).alias("m"), F.min("label").alias("l0"), F.max("label").alias("l1"),
-        F.bit_xor(F.xxhash64("class")).alias("f0"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("f1"),
-    )
-    roots = cut(roots.where("l0 <> l1").groupBy("m", "f0", "f1").agg(F.min("root").alias("__root")), "roots")
+def _blocks(members: DataFrame, block: int) -> DataFrame:
+    """g, lo, hi, side of the block groups that compare all of a group's
+    classes: each block with itself and with every other one."""
     nb = F.ceil(F.col("m") / F.lit(float(block))).cast("int")
-    rows = members.join(roots.select("__root", "m"), F.col("root") == F.col("__root"))
-    rows = rows.withColumn("nb", nb).withColumn("block", F.pmod(F.xxhash64("class", F.lit(2)), F.col("nb")).cast("int"))
+    rows = members.withColumn("nb", nb).withColumn("block", F.pmod(F.xxhash64("class", F.lit(2)), F.col("nb")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    return rows.select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class", "label")
-
-
-def _compare_group(lo: int, hi: int, block: np.ndarray, cls: np.ndarray, label: np.ndarray, n: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(n, kind="stable")
-    block, cls, label, n, bits = block[order], cls[order], label[order], n[order], bits[order]
-    a, b = [], []
-    for i in range(len(n) - 1):
-        stop = np.searchsorted(n, n[i] * DEN // NUM, "right")
-        j = np.arange(i + 1, stop)
-        j = j[(label[j] != label[i]) & ((lo == hi) | (block[j] != block[i]))]
-        if len(j):
-            j = j[_may_link(bits[i], n[i], bits[j], n[j])]
-            a.append(np.full(len(j), cls[i]))
-            b.append(cls[j])
-    none = np.zeros(0, np.int64)
-    x, y = (np.concatenate(a), np.concatenate(b)) if a else (none, none)
-    return np.minimum(x, y), np.maximum(x, y)
-
-
-def block_pairs(blocks: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in a block group that the bitmaps
-    do not rule out.  Groups are runs of sorted rows, of 2 * BLOCK or so."""
-    names = ["root", "lo", "hi", "block", "class", "label", "n", "bitmap"]
-    s = sets.select(F.col("class").alias("__class"), "n", "bitmap")
-    rows = blocks.join(s, F.col("class") == F.col("__class")).select(*names)
-    rows = rows.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-
-        def out(group: pa.Table) -> pa.RecordBatch:
-            lo, hi = group.column(1)[0].as_py(), group.column(2)[0].as_py()
-            block, cls, label, n = (group.column(c).to_numpy() for c in (3, 4, 5, 6))
-            a, b = _compare_group(lo, hi, block, cls, label, n, _bits(group.column(7)))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+    return rows.select("g", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"), "class", "label", "text")
 
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([held, t]) if held is not None else t
-            key = [t.column(c).to_numpy() for c in (0, 1, 2)]
-            new = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key])) + 1
-            begin = 0
-            for stop in new:
-                yield out(t.slice(begin, int(stop) - begin))
-                begin = int(stop)
-            held = t.slice(begin)
-        if held is not None and held.num_rows:
-            yield out(held)
 
-    return arrow_map(rows, run, "a long, b long")
+def _stars(members: DataFrame, pairs: DataFrame, block: int) -> DataFrame:
+    """Groups that compare a tile's classes with the tile's least one, in
+    chunks of bounded size; the least one is in every chunk."""
+    j = pairs.join(members.select("class", "text"), F.col("b") == F.col("class"))
+    chunk = F.pmod(F.xxhash64("b", F.lit(3)), F.ceil(F.col("fans") / F.lit(float(block))).cast("int")).cast("int")
+    fans = j.select(F.col("a").alias("g"), chunk.alias("lo"), F.lit(0).alias("hi"), F.lit(1).alias("side"), F.col("b").alias("class"), F.col("b").alias("label"), "text")
+    heads = fans.select("g", "lo").distinct().join(members.select(F.col("class").alias("__c"), F.col("text").alias("t")), F.col("g") == F.col("__c"))
+    return fans.unionByName(heads.select("g", "lo", F.lit(0).alias("hi"), F.lit(0).alias("side"), F.col("g").alias("class"), F.col("g").alias("label"), F.col("t").alias("text")))
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
     """class, label of every class that is linked with another one."""
     in_tile = Window.partitionBy("tile")
-    shared = tile_members(docs).select("tile", "class", "root", F.min("class").over(in_tile).alias("least"), F.max("class").over(in_tile).alias("most"))
-    shared = cut(shared.where("least < most").select("root", "class", "least"), "tiles")
-    candidates = shared.select(F.col("class").alias("__class")).distinct()
-    reps = classes.join(candidates, F.col("class") == F.col("__class"), "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
-    sets = cut(class_sets(docs, cut(reps.select("class", "r.doc_id", "r.text_hash"), "reps")), "sets")
-    first = shared.where("`class` <> least").select(F.col("least").alias("a"), F.col("class").alias("b")).distinct()
-    links = cut(exact(cut(bounded(first, sets), "bounded"), sets), "links")
-    labels = components(links)
-    rest = cut(block_pairs(unresolved_blocks(shared, labels, block), sets).distinct(), "rest")
-    more = cut(exact(rest, sets), "links")
+    shared = tile_members(docs).select("class", F.min("class").over(in_tile).alias("a"), F.max("class").over(in_tile).alias("most"))
+    pairs = cut(shared.where("a < most AND `class` <> a").select("a", F.col("class").alias("b")).distinct(), "pairs")
+    # classes that tiles connect: only within such a group can there be links
+    groups = components(pairs).select(F.col("class").alias("__class"), F.col("label").alias("g"))
+    sizes = groups.groupBy(F.col("g").alias("__g")).agg(F.count(F.lit(1)).alias("m"))
+    groups = cut(groups.join(sizes, F.col("g") == F.col("__g")).select("__class", "g", "m"), "groups")
+    reps = classes.join(groups, F.col("class") == F.col("__class")).groupBy("class", "g", "m").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
+    reps = cut(reps.select("class", "g", "m", F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash")), "reps")
+    src = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    # the candidates follow the corpus, so no size of theirs makes a broadcast safe
+    found = src.join(reps.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
+    members = cut(found.select("class", "g", "m", "text").dropDuplicates(["class"]), "members")
+    # a group beyond one block: first each tile's classes against its least one
+    large = pairs.join(groups.where(F.col("m") > block), F.col("a") == F.col("__class")).select("a", "b")
+    fans = large.groupBy(F.col("a").alias("__a")).agg(F.count(F.lit(1)).alias("fans"))
+    large = cut(large.join(fans, F.col("a") == F.col("__a")).select("a", "b", "fans"), "large")
+    links = cut(group_links(_stars(members, large, block)), "links")
+    labels = components(links).select(F.col("class").alias("__class"), "label")
+    left = cut(members.select("class", "g", "m").join(labels, F.col("class") == F.col("__class"), "left").select("class", "g", "m", F.coalesce("label", "class").alias("label")), "left")
+    # then what is still apart in a group, all against all in blocks
+    apart = left.groupBy(F.col("g").alias("__g")).agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1")
+    rows = left.join(apart, F.col("g") == F.col("__g")).select(F.col("class").alias("__class"), "label")
+    rows = members.join(rows, F.col("class") == F.col("__class")).select("class", "g", "m", "label", "text")
+    more = cut(group_links(_blocks(rows, block)), "links")
     return components(links.unionByName(more))
 
 
