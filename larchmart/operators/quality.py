@@ -405,4 +405,9 @@ def with_status(results: DataFrame) -> DataFrame:
 
 
 class QualityGateError(RuntimeError):
-    pass
+    """Raised at the end of a gated build; ``result`` holds what was built,
+    the report of every check that ran, and the failed and skipped models."""
+
+    def __init__(self, message: str, result=None):
+        super().__init__(message)
+        self.result = result

@@ -24,12 +24,24 @@ from ..session import work_dir
 # --------------------------------------------------------------------------
 
 
+def keyed_products(products: DataFrame, dim_prod: DataFrame) -> DataFrame:
+    """The catalog with its dimension key: a join of catalog size, so that the
+    order lines meet the product once.  It joins on the key, not on the id: the
+    lines' join then shuffles both of its sides, and only such a join is split
+    by skew handling."""
+    keys = dim_prod.select("product_key")
+    keyed = products.withColumn("__key", surrogate_key("product_id"))
+    return keyed.join(keys, F.col("__key") == F.col("product_key"), "left").drop("__key")
+
+
 def int_order_margins(items: DataFrame, orders: DataFrame, products: DataFrame, keep_orphans: bool = False) -> DataFrame:
-    """Order-line economics: gross, net, cost of goods, profit and margin."""
+    """Order-line economics: gross, net, cost of goods, profit and margin.
+    A product key that ``products`` carry (``keyed_products``) is passed on."""
     how = "left" if keep_orphans else "inner"
     lines = items.select("order_item_id", "order_id", "product_id", "quantity", "unit_price", "discount_amount")
     headers = orders.select("order_id", "customer_id", "session_id", "order_date", "order_status", "payment_method")
-    catalog = products.select("product_id", "sku", "product_name", "category", "unit_cost")
+    key = [c for c in products.columns if c == "product_key"]
+    catalog = products.select("product_id", "sku", "product_name", "category", "unit_cost", *key)
     j = lines.join(headers, "order_id", how).join(catalog, "product_id", how)
     gross = F.col("quantity") * F.col("unit_price")
     econ = j.select(
@@ -51,6 +63,7 @@ def int_order_margins(items: DataFrame, orders: DataFrame, products: DataFrame,
         "discount_amount",
         money(gross - F.col("discount_amount")).alias("net_revenue"),
         money(F.col("quantity") * F.col("unit_cost")).alias("cogs"),
+        *key,
     )
     profit = F.col("net_revenue") - F.col("cogs")
     return econ.withColumns(
@@ -269,17 +282,15 @@ def dim_date(spark: SparkSession, cfg: WarehouseConfig, activity: DataFrame | No
 # --------------------------------------------------------------------------
 
 
-def fct_orders(margins: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame, cfg: WarehouseConfig) -> DataFrame:
+def fct_orders(margins: DataFrame, dim_cust: DataFrame, cfg: WarehouseConfig) -> DataFrame:
     """Order-line fact: customer version in force at order time, product key.
 
-    The product lookup runs first: the line economics were just joined on
-    ``product_id``, so this join reuses that hash partitioning and the lines
-    are shuffled once more only, for the customer (point-in-time) join.
+    ``margins`` are the line economics over ``keyed_products``: no second
+    product join hangs on the partitioning of the first, so adaptive execution
+    may split a hot product there and a hot customer here.
     """
-    products = dim_prod.select("product_key", "product_id")
-    with_product = margins.join(products, "product_id", "left")
     versions = dim_cust.select("customer_key", "customer_id", "valid_from", "valid_to")
-    j = point_in_time_join(with_product, versions, "customer_id", "order_date", ["customer_key"])
+    j = point_in_time_join(margins, versions, "customer_id", "order_date", ["customer_key"])
     return j.select(
         surrogate_key("order_item_id").alias("fct_order_item_key"),
         "order_item_id",

@@ -164,7 +164,9 @@ class Warehouse:
 
     @cached_property
     def fct_orders(self) -> DataFrame:
-        return M.fct_orders(self._get("int_order_margins"), self._get("dim_customers"), self._get("dim_products"), self.cfg)
+        catalog = M.keyed_products(self._get("stg_products"), self._get("dim_products"))
+        lines = M.int_order_margins(self._get("stg_order_items"), self._get("stg_orders"), catalog, self.cfg.keep_orphans)
+        return M.fct_orders(lines, self._get("dim_customers"), self.cfg)
 
     @cached_property
     def fct_sessions(self) -> DataFrame:

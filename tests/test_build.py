@@ -42,13 +42,19 @@ def test_clean_build_passes_all_checks(spark, raw):
 
 def test_failing_check_stops_descendants(spark, raw):
     out = tempfile.mkdtemp(prefix="lm-build-")
-    with pytest.raises(QualityGateError, match="stg_orders"):
+    with pytest.raises(QualityGateError, match="stg_orders") as caught:
         warehouse_build.build(spark, _raw(raw, dup_order=True), CFG, out)
     # nothing downstream of the failed model was written
     import os
 
     assert os.path.isdir(f"{out}/staging/stg_orders")
     assert not os.path.exists(f"{out}/marts/fct_orders")
+    # what does not descend from it is built and tested
+    result = caught.value.result
+    assert os.path.isdir(f"{out}/marts/dim_customers") and os.path.isdir(f"{out}/marts/dim_products")
+    assert result.failed == ["stg_orders"]
+    assert set(result.skipped) == {"int_order_margins", "int_sessions", "fct_orders", "fct_sessions", "fct_daily_sales", "mart_customer_360"}
+    assert result.checks.where("model = 'dim_customers'").count() > 0
 
 
 def test_results_independent_of_partitioning(spark):

@@ -14,7 +14,7 @@ def build(raw, customers, orders, sessions=()):
                                "quantity": 1, "unit_price": o.get("amount", 10), "discount_amount": 0} for o in orders]), "order_items")
     hdr = parse_entity(raw(orders), "orders")
     prod = parse_entity(raw([{"product_id": "P1", "unit_cost": 1, "retail_price": 10}]), "products")
-    fct = M.fct_orders(M.int_order_margins(items, hdr, prod), d, M.dim_products(prod, CFG), CFG)
+    fct = M.fct_orders(M.int_order_margins(items, hdr, M.keyed_products(prod, M.dim_products(prod, CFG))), d, CFG)
     ss = parse_entity(raw(list(sessions) or [{"session_id": "S0", "customer_id": "C1", "session_start": "2024-01-01 00:00:00", "page_views_count": 3}]), "sessions")
     fs = M.fct_sessions(M.int_sessions(ss, hdr), d, CFG)
     return M.customer_360(d, fct, fs, CFG)

@@ -6,6 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from larchmart.config import WarehouseConfig
+from larchmart.functions.columns import surrogate_key
 from larchmart.operators.staging import parse_entity
 from larchmart.plans import models as M
 
@@ -52,8 +53,8 @@ def _fact(spark, raw, orders):
                                "unit_price": 10, "discount_amount": 0} for i, o in enumerate(orders)]), "order_items")
     hdr = parse_entity(raw(orders), "orders")
     prod = parse_entity(raw([{"product_id": "P1", "sku": "S", "unit_cost": 4, "retail_price": 10}]), "products")
-    margins = M.int_order_margins(items, hdr, prod)
-    fct = M.fct_orders(margins, d, M.dim_products(prod, CFG), CFG)
+    margins = M.int_order_margins(items, hdr, M.keyed_products(prod, M.dim_products(prod, CFG)))
+    fct = M.fct_orders(margins, d, CFG)
     return fct.join(d.select("customer_key", "state"), "customer_key", "left")
 
 
@@ -156,3 +157,37 @@ def test_range_lead_splits_one_hot_key_and_day(spark):
     cols = ["k", "ts", "nxt", "__first"]
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0 and a.count() == 5001
     assert a.where("__first").count() == 2
+
+
+def test_hot_product_is_split(spark):
+    """A product that holds most lines is split by adaptive execution inside the order fact."""
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        ts = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
+        n = 120_000
+        items = spark.range(0, n, 1, 16).select(
+            F.md5(F.col("id").cast("string")).alias("order_item_id"), (F.col("id") % 5000).cast("string").alias("order_id"),
+            F.when(F.col("id") % 10 > 0, "P0").otherwise(F.concat(F.lit("P"), F.col("id") % 97)).alias("product_id"),
+            F.lit(1).alias("quantity"), F.lit("2.00").cast("decimal(12,2)").alias("unit_price"), F.lit("0.00").cast("decimal(12,2)").alias("discount_amount"))
+        orders = spark.range(5000).select(
+            F.col("id").cast("string").alias("order_id"), (F.col("id") % 50).cast("string").alias("customer_id"), F.lit("S").alias("session_id"),
+            ts.alias("order_date"), F.lit("completed").alias("order_status"), F.lit("card").alias("payment_method"))
+        products = spark.range(97).select(
+            F.concat(F.lit("P"), F.col("id")).alias("product_id"), F.lit("s").alias("sku"), F.lit("n").alias("product_name"),
+            F.lit("c").alias("category"), F.lit("1.00").cast("decimal(12,2)").alias("unit_cost"))
+        customers = spark.range(50).select(
+            F.col("id").cast("string").alias("customer_id"), F.col("id").cast("string").alias("customer_key"),
+            F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
+        catalog = M.keyed_products(products, products.select(surrogate_key("product_id").alias("product_key")))
+        fact = M.fct_orders(M.int_order_margins(items, orders, catalog), customers, CFG)
+        assert len(fact.collect()) == n
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true) [product_id" in plan.split("Initial Plan")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
