@@ -214,21 +214,51 @@ def _result(check: Check, violations: Column) -> Column:
 def _scan_measure(check: Check) -> Column:
     if check.kind == "not_null":
         return F.count_if(F.col(check.column).isNull())
-    if check.kind == "accepted_values":
-        c = F.col(check.column)
-        return F.count_distinct(F.when(~c.isin(*check.values), c))
     if check.kind == "expression":
         return F.count_if(~F.expr(check.predicate))
     raise ValueError(check.kind)
 
 
 def scan_checks(model: DataFrame, checks: list[Check]) -> DataFrame:
-    """All scan-type checks of one model in one aggregate pass."""
-    row = model.agg(*[_scan_measure(c).alias(f"__c{i}") for i, c in enumerate(checks)])
+    """All scan-type checks of one model: null and expression counts in one
+    plain aggregate, accepted values apart, so that no row is expanded once per
+    distinct count."""
+    plain = [c for c in checks if c.kind != "accepted_values"]
+    listed = [c for c in checks if c.kind == "accepted_values"]
+    frames = []
+    if plain:
+        row = model.agg(*[_scan_measure(c).alias(f"__c{i}") for i, c in enumerate(plain)])
+        frames.append(_per_check(row, plain))
+    if listed:
+        frames.append(accepted_values_checks(model, listed))
+    return union_all(frames)
+
+
+def _per_check(row: DataFrame, checks: list[Check]) -> DataFrame:
+    """One result row per check from a one-row frame of counts ``__c0``, ``__c1``, ..."""
     results = F.array(*[_result(c, F.col(f"__c{i}")) for i, c in enumerate(checks)])
     return row.select(F.explode(results).alias("r")).select("r.*")
 
 
+def _counts_by_index(found: DataFrame, n: int) -> DataFrame:
+    """One row ``__c0`` ... from rows (``__i``, ``__n``)."""
+    return found.agg(*[F.coalesce(F.sum(F.when(F.col("__i") == i, F.col("__n"))), F.lit(0)).alias(f"__c{i}") for i in range(n)])
+
+
+def accepted_values_checks(model: DataFrame, checks: list[Check]) -> DataFrame:
+    """Distinct values outside each check's list: only violating values leave
+    the scan, as (check index, value as text), and are made distinct map side."""
+    outside = F.array(
+        *[
+            F.when(~F.col(c.column).isin(*c.values), F.struct(F.lit(i).alias("__i"), F.col(c.column).cast("string").alias("__v")))
+            for i, c in enumerate(checks)
+        ]
+    )
+    values = model.select(F.explode(F.array_compact(outside)).alias("p")).select("p.*").distinct()
+    found = values.groupBy("__i").agg(F.count(F.lit(1)).alias("__n"))
+    return _per_check(_counts_by_index(found, len(checks)), checks)
+
+
 def unique_check(model: DataFrame, check: Check) -> DataFrame:
     c = F.col(check.column)
     dupes = model.where(c.isNotNull()).groupBy(c).count().where(F.col("count") > 1)
@@ -258,11 +288,7 @@ def unique_checks(model: DataFrame, checks: list[Check]) -> DataFrame:
         .groupBy("__i")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    row = dupes.agg(
-        *[F.coalesce(F.sum(F.when(F.col("__i") == i, F.col("__n"))), F.lit(0)).alias(f"__c{i}") for i in range(len(checks))]
-    )
-    results = F.array(*[_result(c, F.col(f"__c{i}")) for i, c in enumerate(checks)])
-    return row.select(F.explode(results).alias("r")).select("r.*")
+    return _per_check(_counts_by_index(dupes, len(checks)), checks)
 
 
 def relationship_check(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
@@ -375,24 +401,35 @@ def singular_check(name: str, tables: Callable[[str], DataFrame]) -> DataFrame:
 # -------------------------------------------------------------- freshness --
 
 
-def freshness(raw: dict[str, DataFrame], as_of: Column | datetime, cfg: WarehouseConfig) -> DataFrame:
-    """Per raw source: latest ``_ingested_at`` and pass / warn / error
-    against ``as_of`` (explicit, so the verdict is reproducible)."""
-    if isinstance(as_of, datetime):
-        as_of = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
-    frames = []
-    for entity, df in raw.items():
-        frames.append(df.agg(F.max("_ingested_at").alias("max_loaded_at")).select(F.lit(f"raw_{entity}").alias("source"), "max_loaded_at"))
-    latest = union_all(frames)
-    age_us = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), as_of)
+def last_loads(raw: dict[str, DataFrame]) -> DataFrame:
+    """source, max_loaded_at: one aggregate per raw source."""
+    return union_all(
+        [
+            df.agg(F.max("_ingested_at").alias("max_loaded_at")).select(F.lit(f"raw_{entity}").alias("source"), "max_loaded_at")
+            for entity, df in raw.items()
+        ]
+    )
+
+
+def freshness_status(loaded: DataFrame, cfg: WarehouseConfig) -> DataFrame:
+    """pass / warn / error of each ``max_loaded_at`` seen at ``as_of``; a source
+    that was never loaded is an error."""
+    age_us = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), F.col("as_of"))
     hour_us = 3600 * 1_000_000
     status = (
-        F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
-        .when(age_us > F.lit(cfg.freshness_error_hours * hour_us), F.lit("error"))
+        F.when(F.col("max_loaded_at").isNull() | (age_us > F.lit(cfg.freshness_error_hours * hour_us)), F.lit("error"))
         .when(age_us > F.lit(cfg.freshness_warn_hours * hour_us), F.lit("warn"))
         .otherwise(F.lit("pass"))
     )
-    return latest.select("source", "max_loaded_at", as_of.alias("as_of"), status.alias("status"))
+    return loaded.select("source", "max_loaded_at", "as_of", status.alias("status"))
+
+
+def freshness(raw: dict[str, DataFrame], as_of: Column | datetime, cfg: WarehouseConfig) -> DataFrame:
+    """Per raw source: latest ``_ingested_at`` and pass / warn / error
+    against ``as_of`` (explicit, so the verdict is reproducible)."""
+    if isinstance(as_of, datetime):
+        as_of = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    return freshness_status(last_loads(raw).withColumn("as_of", as_of), cfg)
 
 
 def with_status(results: DataFrame) -> DataFrame:

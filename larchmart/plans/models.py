@@ -529,14 +529,26 @@ def score_order(score: str) -> list[Column]:
 
 
 def rfm_scores(profile: DataFrame, cfg: WarehouseConfig) -> DataFrame:
-    """Quintile scores among purchasers; customers without orders score 0."""
+    """Quintile scores among purchasers; customers without orders score 0.
+
+    The profile is evaluated once, behind a reliable checkpoint.  Each score is
+    ranked on two columns only (customer, measure), so that is all the range
+    shuffles and their checkpoints carry; the scores meet in one aggregation by
+    customer and are joined back once.
+    """
+    work_dir(profile.sparkSession)
+    profile = profile.checkpoint(eager=True)
     buyers = profile.where(F.col("lifetime_order_count") > 0)
-    for col in SCORE_ORDERS:
-        buyers = distributed_ntile(buyers, cfg.rfm_tiles, score_order(col), col)
-    never = profile.where(F.col("lifetime_order_count") == 0).withColumns(
-        {c: F.lit(0).cast("int") for c in SCORE_ORDERS}
+    scored = None
+    for score, (measure, _) in SCORE_ORDERS.items():
+        tiles = distributed_ntile(buyers.select("customer_id", measure), cfg.rfm_tiles, score_order(score), "__tile")
+        one = tiles.select("customer_id", F.lit(score).alias("__score"), "__tile")
+        scored = one if scored is None else scored.unionByName(one)
+    per_customer = scored.groupBy("customer_id").agg(
+        *[F.max(F.when(F.col("__score") == s, F.col("__tile"))).alias(s) for s in SCORE_ORDERS]
     )
-    return buyers.unionByName(never)
+    joined = profile.join(per_customer, "customer_id", "left")
+    return joined.select(*profile.columns, *[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in SCORE_ORDERS])
 
 
 def rfm_segment() -> Column:
@@ -545,7 +557,7 @@ def rfm_segment() -> Column:
     return (
         F.when(F.col("lifetime_order_count") == 0, F.lit("Never Purchased"))
         .when((r >= 4) & (f >= 4), F.lit("Champion"))
-        .when((r >= 4) & (f < 4), F.lit("Promising"))
+        .when(r >= 4, F.lit("Promising"))
         .when(r == 3, F.lit("Needs Attention"))
         .when(m >= 4, F.lit("At Risk (High Value)"))
         .otherwise(F.lit("Hibernating"))

@@ -8,6 +8,7 @@ needs on the whole input.  ``ORACLE[name]`` is the independent SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -316,6 +317,21 @@ def daily_sales_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.daily_sales_dense(w.table("fct_daily_sales"), w.table("dim_date"))
 
 
+_CONFIGURED_ORACLE = """
+select s.full_date, ifnull(f.order_count, 0) as order_count, ifnull(f.net_revenue, 0)::decimal(14,2) as net_revenue
+from (select unnest(range(timestamp '1995-01-01', timestamp '1995-01-01' + interval 10958 day, interval 1 day))::date as full_date
+      union all select date '1900-01-01') s
+left join fct_daily_sales f on strptime(f.date_key::varchar, '%Y%m%d')::date = s.full_date"""
+
+
+@register("daily_sales_configured", O.with_ctes(_CONFIGURED_ORACLE, "fct_daily_sales"))
+def daily_sales_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dense daily series over the configured spine (a start and a length)."""
+    cfg = FIXTURE_CONFIG.with_(spine_start=date(1995, 1, 1), spine_days=10957)
+    dense = M.daily_sales_dense(wh(spark, sf_dir).table("fct_daily_sales"), M.dim_date(spark, cfg))
+    return dense.select("full_date", "order_count", "net_revenue")
+
+
 # ------------------------------------------------------------ customer 360 --
 
 @register("data_watermark", O.with_ctes("select * from data_watermark", "data_watermark"))
@@ -356,20 +372,19 @@ register("customer_360", O.with_ctes("select * from mart_customer_360", "mart_cu
 # ---------------------------------------------------------------- reports --
 
 _Q1 = f"""
-select p.category, count(distinct f.order_id) as total_orders, cast(sum(f.quantity) as bigint) as units_sold,
-       cast(sum(f.gross_amount) as decimal(38,2)) as gross_sales, cast(sum(f.discount_amount) as decimal(38,2)) as discounts,
-       cast(sum(f.net_revenue) as decimal(38,2)) as total_net_revenue,
-       cast(sum(f.gross_profit) as decimal(38,2)) as total_gross_profit,
-       {O.pct('sum(f.gross_profit)', 'sum(f.net_revenue)')} as profit_margin_pct
-from fct_orders f join dim_products p on f.product_key = p.product_key
-where f.order_status = 'completed'
-group by p.category order by total_net_revenue desc, p.category"""
+select category, count(*) as total_orders, sum(units)::bigint as units_sold, sum(gross)::decimal(38,2) as gross_sales,
+       sum(discount)::decimal(38,2) as discounts, sum(net)::decimal(38,2) as total_net_revenue,
+       sum(profit)::decimal(38,2) as total_gross_profit, {O.pct('sum(profit)', 'sum(net)')} as profit_margin_pct
+from (select category, order_id, sum(quantity) as units, sum(gross_amount) as gross, sum(discount_amount) as discount,
+             sum(net_revenue) as net, sum(gross_profit) as profit
+      from fct_orders join dim_products using (product_key) where order_status = 'completed' group by all) per_order
+group by category order by total_net_revenue desc, category"""
 
 _Q2 = """
-select c.state as customer_state_at_purchase, count(distinct f.order_id) as order_count,
-       cast(sum(f.net_revenue) as decimal(38,2)) as total_revenue
-from fct_orders f join dim_customers c on f.customer_key = c.customer_key
-group by c.state order by total_revenue desc, customer_state_at_purchase limit 10"""
+select state as customer_state_at_purchase, sum(n)::bigint as order_count, sum(net)::decimal(38,2) as total_revenue
+from (select customer_key, count(*) as n, sum(net) as net from order_totals group by all)
+join dim_customers using (customer_key)
+group by state order by total_revenue desc, customer_state_at_purchase limit 10"""
 
 _Q3 = f"""
 select traffic_source, device_type, count(session_id) as total_sessions,
@@ -380,12 +395,13 @@ from fct_sessions group by traffic_source, device_type
 order by total_revenue desc, traffic_source, device_type"""
 
 _Q4 = f"""
-select d.year, d.month, d.month_name, cast(sum(f.order_count) as bigint) as orders,
-       cast(sum(f.units_sold) as bigint) as units, cast(sum(f.net_revenue) as decimal(38,2)) as net_revenue,
-       cast(sum(f.gross_profit) as decimal(38,2)) as gross_profit,
-       {O.pct('sum(f.gross_profit)', 'sum(f.net_revenue)')} as margin_pct
-from fct_daily_sales f join dim_date d on f.date_key = d.date_key
-group by d.year, d.month, d.month_name order by d.year, d.month"""
+select names.* exclude (ym), months.* exclude (ym), {O.pct('gross_profit', 'net_revenue')} as margin_pct
+from (select date_key // 100 as ym, sum(order_count)::bigint as orders, sum(units_sold)::bigint as units,
+             sum(net_revenue)::decimal(38,2) as net_revenue, sum(gross_profit)::decimal(38,2) as gross_profit
+      from fct_daily_sales where date_key in (select date_key from dim_date) group by all) months
+join (select date_key // 100 as ym, any_value(year) as year, any_value(month) as month, any_value(month_name) as month_name
+      from dim_date group by all) names using (ym)
+order by year, month"""
 
 _Q5 = f"""
 select rfm_segment, count(*) as customers,
@@ -395,7 +411,7 @@ select rfm_segment, count(*) as customers,
 from mart_customer_360 group by rfm_segment order by avg_lifetime_revenue desc, rfm_segment"""
 
 register("q1", O.with_ctes(_Q1, "fct_orders", "dim_products"))(lambda spark, sf_dir: wh(spark, sf_dir).q1())
-register("q2", O.with_ctes(_Q2, "fct_orders", "dim_customers"))(lambda spark, sf_dir: wh(spark, sf_dir).q2())
+register("q2", O.with_ctes(_Q2, "order_totals", "dim_customers"))(lambda spark, sf_dir: wh(spark, sf_dir).q2())
 register("q3", O.with_ctes(_Q3, "fct_sessions"))(lambda spark, sf_dir: wh(spark, sf_dir).q3())
 register("q4", O.with_ctes(_Q4, "fct_daily_sales", "dim_date"))(lambda spark, sf_dir: wh(spark, sf_dir).q4())
 register("q5", O.with_ctes(_Q5, "mart_customer_360"))(lambda spark, sf_dir: wh(spark, sf_dir).q5())
@@ -472,12 +488,11 @@ def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Freshness of the five raw sources at three evaluation instants:
     1, 30 and 50 hours after the latest load."""
     w = wh(spark, sf_dir)
-    raw = {e: w.raw_table(e) for e in ENTITIES}
-    latest = Q.union_all([df.select("_ingested_at") for df in raw.values()]).agg(F.max("_ingested_at")).scalar()
-    frames = [
-        Q.freshness(raw, latest + F.make_dt_interval(hours=F.lit(h)), FIXTURE_CONFIG) for h in FRESHNESS_OFFSETS_H
-    ]
-    return Q.union_all(frames)
+    loaded = Q.last_loads({e: w.raw_table(e) for e in ENTITIES})
+    latest = loaded.agg(F.max("max_loaded_at")).scalar()
+    hours = F.explode(F.array(*[F.lit(h) for h in FRESHNESS_OFFSETS_H]))
+    cases = loaded.withColumn("__hours", hours).withColumn("as_of", latest + F.make_dt_interval(hours=F.col("__hours")))
+    return Q.freshness_status(cases.drop("__hours"), FIXTURE_CONFIG)
 
 
 def _report_oracle() -> str:
