@@ -1,8 +1,10 @@
 """Similarity join on word n-grams by Jaccard (operator 9).
 
-A document is its set of distinct three-word shingles (64-bit hashes; two sets
-are taken for one if their 64-bit digests agree).  Equal sets are one class,
-and classes are joined:
+A document is its set of distinct word shingles (64-bit hashes; two sets are
+taken for one if their 64-bit digests agree).  Shingle length and threshold are
+a ``Rule``: the query's is three words and 0.9, a caller may give its own, and
+size bands, parts and the overlap that links follow from it.  Equal sets are
+one class, and classes are joined:
 
 1. Tiles.  Sets are put in bands by size, a set near a band's upper edge also
    in the next one.  Two sets of a band that reach the threshold differ in at
@@ -19,6 +21,13 @@ and classes are joined:
    not of the other is a shingle of one and not of the other.  What passes is
    decided by intersecting the sorted arrays.
 
+Below ``THIN`` the parts would hold so few shingles that most of a corpus would
+share tiles, so there tiles are single shingles.  Of the shingles below a fixed
+hash, a set with more than ``1 - threshold`` of its size found in no other set
+links with nothing.  The sets left are ordered with shingles found in one set
+first, then by hash: linked sets share a shingle among the first
+``n - ceil(threshold * n) + 1``, and those found in one set make no tile.
+
 A batch sends one row per tile to the shuffle, however many of its classes
 share the tile (these are tied to it by a tile of the batch's own), so a group
 of near copies never arrives in one task.
@@ -32,6 +41,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +51,22 @@ from pyspark.sql import functions as F
 from .common import arrow_map, chunks, cut, table, text_or_empty, without
 from .wordhash import distinct, mix, ngrams, split_words, word_hashes
 
-SHINGLE = 3
-#: Threshold as a fraction: linked when DEN * intersection >= NUM * union.
-NUM, DEN = 9, 10
+
+class Rule(NamedTuple):
+    """Words of a shingle, and the threshold as a fraction: linked when
+    den * intersection >= num * union."""
+
+    shingle: int
+    num: int
+    den: int
+
+
+#: The rule of the query.
+QUERY_RULE = Rule(3, 9, 10)
+#: Thresholds below this fraction use single shingles as tiles.
+THIN = (9, 10)
+#: Share of the shingles, by hash, that the first test of a set looks at.
+LOOKED_AT = 0.35
 BAND_RATIO = 1.5
 BITMAP_BITS = 4096
 BLOCK = 512
@@ -55,44 +78,44 @@ while _EDGES[-1] < 1 << 40:
 _EDGES = np.array(_EDGES, np.int64)
 
 
-def _parts(band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _parts(band: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """(parts, parts to spare) of the bands."""
     top = _EDGES[band + 1] - 1
-    d = 2 * top * (DEN - NUM) // (DEN + NUM)
+    d = 2 * top * (rule.den - rule.num) // (rule.den + rule.num)
     spare = np.minimum(d, 2)
     return d + 1 + spare, spare
 
 
-def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _sets(texts: pa.Array, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, shingle) pairs ascending, and size and digest of every text's set."""
     b = split_words(texts, lower=True)
-    doc, h = distinct(*ngrams(b, word_hashes(b), SHINGLE, short=True))
+    doc, h = distinct(*ngrams(b, word_hashes(b), rule.shingle, short=True))
     n = np.bincount(doc, minlength=b.n_docs)
     digest = np.zeros(b.n_docs, _U)
     np.add.at(digest, doc, mix(h, 7))
     return doc, h, n, mix(digest + n.astype(_U), 5).view(np.int64)
 
 
-def set_classes(docs: DataFrame) -> DataFrame:
+def set_classes(docs: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, text_hash, n_shingles and class (null without shingles) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            _, _, n, digest = _sets(batch.column(2))
+            _, _, n, digest = _sets(batch.column(2), rule)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n.astype(np.int64)), pa.array(digest, mask=n == 0)], ["doc_id", "text_hash", "n_shingles", "class"])
 
     src = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text"))
     return arrow_map(src, run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_hash long, n_shingles long, class long")
 
 
-def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """(text, tile) of every tile that the sets belong to."""
     texts, tiles = [], []
     own = np.searchsorted(_EDGES, np.maximum(n, 1), "right") - 1
     for up in (0, 1):
         band = own + up
-        use = (n > 0) if up == 0 else (n > 0) & (n * DEN >= NUM * _EDGES[own + 1])
-        parts, spare = _parts(band)
+        use = (n > 0) if up == 0 else (n > 0) & (n * rule.den >= rule.num * _EDGES[own + 1])
+        parts, spare = _parts(band, rule)
         first = np.concatenate([[0], np.cumsum(np.where(use, parts, 0))])
         mine = use[doc]
         d, g = doc[mine], h[mine]
@@ -110,15 +133,15 @@ def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarra
     return np.concatenate(texts), np.concatenate(tiles)
 
 
-def tile_members(docs: DataFrame) -> DataFrame:
+def tile_members(docs: DataFrame, rule: Rule) -> DataFrame:
     """tile, class: a class is in a tile.  If several classes of a batch share
     one, the least stands for them there and is tied to the others in a tile of
     the batch's own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            doc, h, n, digest = _sets(batch.column(0))
-            text, tile = signatures(doc, h, n)
+            doc, h, n, digest = _sets(batch.column(0), rule)
+            text, tile = signatures(doc, h, n, rule)
             cls = digest[text]
             order = np.lexsort((cls, tile))
             tile, cls = tile[order], cls[order]
@@ -143,16 +166,65 @@ def tile_members(docs: DataFrame) -> DataFrame:
     return arrow_map(docs.select(text_or_empty().alias("text")), run, "tile long, class long")
 
 
-def _need(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+def shingle_rows(docs: DataFrame, rule: Rule, share: float = 1.0) -> DataFrame:
+    """shingle, class of every set; with ``share``, only the shingles of least hash."""
+    top = _U(min(int(share * 2**64), 2**64 - 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            doc, h, _, digest = _sets(batch.column(0), rule)
+            low = h <= top
+            yield pa.RecordBatch.from_arrays([pa.array(h[low].view(np.int64)), pa.array(digest[doc[low]])], ["shingle", "class"])
+
+    return arrow_map(docs.select(text_or_empty().alias("text")), run, "shingle long, class long")
+
+
+def _with_texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """``reps`` (class, __id, __hash and others) with the text of a row of that id and hash."""
+    src = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    # the candidates follow the corpus, so no size of theirs makes a broadcast safe
+    found = src.join(reps.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
+    return found.dropDuplicates(["class"])
+
+
+def may_link(docs: DataFrame, classes: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """One row of ``docs`` and of ``classes`` for every class that may link with another one."""
+    seen = shingle_rows(docs, rule, LOOKED_AT).groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
+    alone = seen.where("lo = hi").groupBy(F.col("lo").alias("__class")).agg(F.count(F.lit(1)).alias("alone"))
+    sets = classes.where("`class` IS NOT NULL").groupBy("class", "n_shingles").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
+    left = sets.join(alone, F.col("class") == F.col("__class"), "left")
+    left = left.where(F.coalesce("alone", F.lit(0)) * rule.den <= F.col("n_shingles") * (rule.den - rule.num))
+    left = left.select("class", "n_shingles", F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash"))
+    left = cut(_with_texts(docs, left).select("doc_id", "text", "text_hash", "class", "n_shingles"), "may-link")
+    return left.select("doc_id", "text"), left.select("doc_id", "text_hash", "n_shingles", "class")
+
+
+def rare_shared(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """class, and the least (a) and largest (most) class of a tile it is in;
+    one row of ``docs`` and ``classes`` per class."""
+    rows = cut(shingle_rows(docs, rule), "shingles")
+    seen = rows.groupBy(F.col("shingle").alias("__s")).agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("__s")
+    both = rows.join(seen, F.col("shingle") == F.col("__s")).select("shingle", F.col("class").alias("__class"))
+    sizes = classes.select("class", F.ceil(F.col("n_shingles") * rule.num / F.lit(rule.den)).alias("need"))
+    of = Window.partitionBy("class")
+    ranked = both.join(sizes, F.col("__class") == F.col("class")).select(
+        "shingle", "class", "need", F.count(F.lit(1)).over(of).alias("found"), F.row_number().over(of.orderBy("shingle")).alias("nth")
+    )
+    tiles = cut(ranked.where("nth <= found - need + 1").select("shingle", "class"), "tiles")
+    ends = tiles.groupBy(F.col("shingle").alias("__s")).agg(F.min("class").alias("a"), F.max("class").alias("most")).where("a < most")
+    return tiles.join(ends, F.col("shingle") == F.col("__s")).select("class", "a", "most")
+
+
+def _need(n_a: np.ndarray, n_b: np.ndarray, rule: Rule) -> np.ndarray:
     """Least intersection of linked sets of these sizes."""
-    return -((-NUM * (n_a + n_b)) // (NUM + DEN))
+    return -((-rule.num * (n_a + n_b)) // (rule.num + rule.den))
 
 
-def _may_link(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+def _may_link(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, rule: Rule) -> np.ndarray:
     """Whether the bitmaps leave room for the overlap that a link needs."""
     only_a = np.bitwise_count(a & ~b).sum(axis=-1, dtype=np.int64)
     only_b = np.bitwise_count(b & ~a).sum(axis=-1, dtype=np.int64)
-    return np.minimum(n_a - only_a, n_b - only_b) >= _need(n_a, n_b)
+    return np.minimum(n_a - only_a, n_b - only_b) >= _need(n_a, n_b, rule)
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -160,11 +232,11 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def compare_group(side: np.ndarray, cls: np.ndarray, label: np.ndarray, texts: pa.Array) -> list[tuple[int, int]]:
+def compare_group(side: np.ndarray, cls: np.ndarray, label: np.ndarray, texts: pa.Array, rule: Rule) -> list[tuple[int, int]]:
     """Links that join the components of a group's classes: across its two
     sides if it has two, else among all.  A pair that is already connected,
     by its labels or by links found here, is not compared."""
-    doc, h, n, _ = _sets(texts)
+    doc, h, n, _ = _sets(texts, rule)
     words = BITMAP_BITS // 64
     bit = (mix(h, 37) % _U(BITMAP_BITS)).astype(np.int64)
     bits = np.zeros(len(n) * words, _U)
@@ -177,19 +249,19 @@ def compare_group(side: np.ndarray, cls: np.ndarray, label: np.ndarray, texts: p
     across = side.min() != side.max()
     links = []
     for i in range(len(n) - 1):
-        stop = int(np.searchsorted(n, n[i] * DEN // NUM, "right"))
+        stop = int(np.searchsorted(n, n[i] * rule.den // rule.num, "right"))
         j = np.arange(i + 1, stop)
         j = j[(part[j] != part[i]) & ((side[j] != side[i]) | (not across))]
         if not len(j):
             continue
-        for k in j[_may_link(bits[i], n[i], bits[j], n[j])]:
-            if part[k] != part[i] and _overlap(h[begin[i] : begin[i] + n[i]], h[begin[k] : begin[k] + n[k]]) >= _need(n[i], n[k]):
+        for k in j[_may_link(bits[i], n[i], bits[j], n[j], rule)]:
+            if part[k] != part[i] and _overlap(h[begin[i] : begin[i] + n[i]], h[begin[k] : begin[k] + n[k]]) >= _need(n[i], n[k], rule):
                 links.append((int(cls[i]), int(cls[k])))
                 part[part == part[k]] = part[i]
     return links
 
 
-def group_links(rows: DataFrame) -> DataFrame:
+def group_links(rows: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) found by ``compare_group`` in every group (g, lo, hi) of
     ``rows``, which also have side, class, label and text."""
     names = ["g", "lo", "hi", "side", "class", "label", "text"]
@@ -200,7 +272,7 @@ def group_links(rows: DataFrame) -> DataFrame:
 
         def out(group: pa.Table) -> pa.RecordBatch:
             side, cls, label = (group.column(c).to_numpy() for c in (3, 4, 5))
-            links = compare_group(side, cls, label, group.column(6).combine_chunks())
+            links = compare_group(side, cls, label, group.column(6).combine_chunks(), rule)
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
@@ -255,10 +327,14 @@ def _stars(members: DataFrame, pairs: DataFrame, block: int) -> DataFrame:
     return fans.unionByName(heads.select("g", "lo", F.lit(0).alias("hi"), F.lit(0).alias("side"), F.col("g").alias("class"), F.col("g").alias("label"), F.col("t").alias("text")))
 
 
-def link_classes(docs: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
+def link_classes(docs: DataFrame, classes: DataFrame, block: int, rule: Rule) -> DataFrame:
     """class, label of every class that is linked with another one."""
-    in_tile = Window.partitionBy("tile")
-    shared = tile_members(docs).select("class", F.min("class").over(in_tile).alias("a"), F.max("class").over(in_tile).alias("most"))
+    if rule.num * THIN[1] < rule.den * THIN[0]:
+        docs, classes = may_link(docs, classes, rule)
+        shared = rare_shared(docs, classes, rule)
+    else:
+        in_tile = Window.partitionBy("tile")
+        shared = tile_members(docs, rule).select("class", F.min("class").over(in_tile).alias("a"), F.max("class").over(in_tile).alias("most"))
     pairs = cut(shared.where("a < most AND `class` <> a").select("a", F.col("class").alias("b")).distinct(), "pairs")
     # classes that tiles connect: only within such a group can there be links
     groups = components(pairs).select(F.col("class").alias("__class"), F.col("label").alias("g"))
@@ -266,29 +342,26 @@ def link_classes(docs: DataFrame, classes: DataFrame, block: int = BLOCK) -> Dat
     groups = cut(groups.join(sizes, F.col("g") == F.col("__g")).select("__class", "g", "m"), "groups")
     reps = classes.join(groups, F.col("class") == F.col("__class")).groupBy("class", "g", "m").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
     reps = cut(reps.select("class", "g", "m", F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash")), "reps")
-    src = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    # the candidates follow the corpus, so no size of theirs makes a broadcast safe
-    found = src.join(reps.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
-    members = cut(found.select("class", "g", "m", "text").dropDuplicates(["class"]), "members")
+    members = cut(_with_texts(docs, reps).select("class", "g", "m", "text"), "members")
     # a group beyond one block: first each tile's classes against its least one
     large = pairs.join(groups.where(F.col("m") > block), F.col("a") == F.col("__class")).select("a", "b")
     fans = large.groupBy(F.col("a").alias("__a")).agg(F.count(F.lit(1)).alias("fans"))
     large = cut(large.join(fans, F.col("a") == F.col("__a")).select("a", "b", "fans"), "large")
-    links = cut(group_links(_stars(members, large, block)), "links")
+    links = cut(group_links(_stars(members, large, block), rule), "links")
     labels = components(links).select(F.col("class").alias("__class"), "label")
     left = cut(members.select("class", "g", "m").join(labels, F.col("class") == F.col("__class"), "left").select("class", "g", "m", F.coalesce("label", "class").alias("label")), "left")
     # then what is still apart in a group, all against all in blocks
     apart = left.groupBy(F.col("g").alias("__g")).agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1")
     rows = left.join(apart, F.col("g") == F.col("__g")).select(F.col("class").alias("__class"), "label")
     rows = members.join(rows, F.col("class") == F.col("__class")).select("class", "g", "m", "label", "text")
-    more = cut(group_links(_blocks(rows, block)), "links")
+    more = cut(group_links(_blocks(rows, block), rule), "links")
     return components(links.unionByName(more))
 
 
-def link_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+def link_documents(docs: DataFrame, block: int = BLOCK, rule: Rule = QUERY_RULE) -> DataFrame:
     """doc_id, n_shingles, component_id, class of every row of ``docs``."""
-    classes = cut(set_classes(docs), "classes")
-    labels = link_classes(docs, classes, block).select(F.col("class").alias("__class"), "label")
+    classes = cut(set_classes(docs, rule), "classes")
+    labels = link_classes(docs, classes, block, rule).select(F.col("class").alias("__class"), "label")
     least = classes.where("`class` IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("low"))
     least = cut(least.join(labels, F.col("class") == F.col("__class"), "left").select("class", "low", F.coalesce("label", "class").alias("label")), "least")
     of = least.groupBy(F.col("label").alias("__label")).agg(F.min("low").alias("component_id"))
@@ -298,12 +371,12 @@ def link_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return full.unionByName(empty)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, rule: Rule = QUERY_RULE) -> DataFrame:
     """The documents without those that link, directly or not, with one of a
     lower id; of rows equal in id and text one stays, rows without an id stay
     unless they link with a row that has one, rows without words stay."""
     docs = without(docs, "__id", "__hash", "__text_hash")
-    linked = link_documents(docs)
+    linked = link_documents(docs, rule=rule)
     goes = linked.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
     goes = cut(goes.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "goes")
     hashed = docs.withColumn("__text_hash", F.xxhash64(text_or_empty()))

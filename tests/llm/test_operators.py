@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from larchmart.llm import extraction, fingerprints, mixing, ngram_join, packing, pii, quality, sharding, toxicity, warc
 from larchmart.llm.common import shared_path
 
@@ -283,6 +284,43 @@ def test_ngram_join_against_brute_force(docs, empty, block):
     assert sorted(named) == sorted(i for i in root if find(i) == i) and list(kept[0]) == docs.columns
 
 
+def test_near_copy_stage_against_brute_force(spark):
+    """The pipeline's stage links by five-word shingles and 0.8, whatever the size of the texts."""
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(3, 8))) for _ in range(600)]
+    word = lambda: rnd.choice(words)
+    texts, passage = ["", None, "one", "two words"], [word() for _ in range(12)]
+    for k in range(160):
+        n = rnd.choice([6, 9, 15, 40, 150, 700])
+        base = [word() for _ in range(n)]
+        if k % 4 == 0:
+            base[n // 2 : n // 2] = passage  # shared by unrelated texts
+        changed = [word() if rnd.random() < rnd.choice([0.01, 0.02, 0.04]) else w for w in base]
+        longer, shorter = base + [word() for _ in range(int(n * rnd.uniform(0.05, 0.35)))], base[: int(n * rnd.uniform(0.7, 0.95))]
+        texts += [" ".join(t) for t in rnd.sample([base, changed, longer, shorter], 3)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    sets = [_shingles(t or "", 5, lower=True) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 10 * len(a & b) >= 8 * len(a | b):
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    want = [i for i in range(len(texts)) if find(i) == i]
+    assert len(want) < len(texts) - 100
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted(r["doc_id"] for r in _rows(got)) == want
+    long = " ".join(words[:200])
+    pair = spark.createDataFrame([(1, long), (2, long + " " + " ".join(words[200:236]))], "doc_id long, text string")
+    assert [r["doc_id"] for r in _rows(corpus_pipeline.drop_near_copies(spark, pair, ""))] == [1]  # 18% appended
+
+
 def test_toxicity_learns_words_and_their_forms(spark):
     rnd = random.Random(2)
     clean = ["".join(rnd.choice("aeioulmnrst") for _ in range(rnd.randint(2, 8))) for _ in range(500)]
