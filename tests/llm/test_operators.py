@@ -216,6 +216,17 @@ def test_quality_rejects_an_outlier(spark):
     assert not got.pop(999) and all(got.values())
 
 
+@pytest.mark.parametrize("alike", [True, False])
+def test_quality_rejects_a_third_of_junk(spark, alike):
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdef") for _ in range(rnd.randint(2, 8)))
+    text = lambda tail: " ".join(word() + tail for _ in range(rnd.randint(50, 400)))
+    copy = text("###")
+    rows = [(i, text(""), "en", "s") for i in range(132)] + [(1000 + i, copy if alike else text("###"), "en", "s") for i in range(68)]
+    got = {r["doc_id"]: r["kept"] for r in _rows(quality.judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")))}
+    assert not any(kept for i, kept in got.items() if i >= 1000) and sum(not kept for i, kept in got.items() if i < 1000) <= 1
+
+
 def test_packing_round_trip(spark, docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
