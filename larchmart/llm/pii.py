@@ -10,7 +10,8 @@ the added kinds (iban, ssn) from 0.5 on.
 
 Positions come from the lengths of what lies between and inside the matches,
 so no Python runs.  Patterns are possessive or anchored at the start of a run,
-so a very long run of digits or letters is scanned once.
+so a very long run of digits or letters is scanned once; an account number has
+the fixed length of its country, so what follows it is never taken for a part.
 
 Defined results: a null text is an empty text without spans; ties cannot
 occur (spans of a kind do not overlap); repeated rows are rows of their own;
@@ -31,12 +32,20 @@ from .common import table, text_or_empty, without
 # with possessive repeats and, for email and ip, a start at the beginning of a
 # run or right after the last match, which matches the same spans.
 _LOCAL = "[A-Za-z0-9._%+-]"
+# The length of the account number (iban) by country.
+IBAN_LENGTH = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST",
+    26: "IS TR IR", 27: "BF BJ BI CF CG CM DJ EG FR GA GF GP GQ KM MC MG MQ MR NC PF PM RE SM TF WF YT IT GR", 28: "AL AZ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TD TG HM",
+    29: "BR PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(rf"(?:{'|'.join(c.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTH.items())
 PATTERNS = {
     "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: A cheap test that a text can hold the kind at all.

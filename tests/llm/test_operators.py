@@ -148,6 +148,17 @@ def test_pii_spans_against_brute_force(docs, empty):
     assert text == "mail [EMAIL] or (x@y), [IP] 256.1.1.1, [CARD], [PHONE] IBAN [IBAN] ssn [SSN]"
 
 
+@pytest.mark.parametrize("number", ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"])
+def test_pii_finds_account_numbers_before_capitals_and_amounts(spark, number):
+    tails = ["", " Deutsche Bank", " Please", " BIC COBADEFFXXX", " EUR 100", " 100 EUR", " A", " and", ".", "X", "\n12"]
+    texts = [f"REF12 pay {number}{t}" for t in tails] + [f"DE12 {number} GB12"]
+    found = {r["doc_id"]: r for r in _rows(pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))}
+    for i, text in enumerate(texts):
+        at = text.index(number, 5)
+        want = [] if text.endswith("X") and not text.endswith("FXXX") else [(at, at + len(number))]
+        assert [(s["start"], s["end"]) for s in found[i]["pii"] if s["kind"] == "iban"] == want
+
+
 def test_extraction_keeps_the_article_only(spark):
     html = """<html><head><title>t</title><script>var a="</p>";</script></head><body class="has-sidebar"><header>Site</header><nav><a>x</a></nav>
     <div class="cookie-notice">We use cookies</div><div class="ad">Buy</div><article><header><h1>Head &amp;\n line</h1></header><p><b>First &eacute;<br> para<p>Two.
