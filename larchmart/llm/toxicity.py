@@ -157,13 +157,15 @@ def copy_groups(texts: pa.Array) -> np.ndarray:
 
 def _evidence(doc: np.ndarray, feats: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Buckets found much more often in toxic than in other documents; ``doc``
-    names the document (one for all its copies) of each token."""
+    names the document (one for all its copies) of each token and ``toxic``
+    tells the token's own document's label: the toxic and the other texts of a
+    group of copies count once each."""
     in_toxic, in_other = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    order = np.argsort(doc, kind="stable")
-    for rows in np.split(order, np.flatnonzero(np.diff(doc[order])) + 1):
-        (in_toxic if toxic[doc[rows[0]]] else in_other)[np.unique(feats[rows])] += 1
-    base = np.bincount(np.unique(doc), minlength=len(toxic)) > 0
-    n_toxic, n_other = (base & toxic).sum(), (base & ~toxic).sum()
+    unit = doc * 2 + toxic
+    order = np.argsort(unit, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(unit[order])) + 1):
+        (in_toxic if toxic[rows[0]] else in_other)[np.unique(feats[rows])] += 1
+    n_toxic, n_other = len(np.unique(doc[toxic])), len(np.unique(doc[~toxic]))
     rate = (in_toxic / max(n_toxic, 1)) / ((in_other + 0.5) / max(n_other, 1))
     both, share = np.maximum(in_toxic + in_other, 1), n_toxic / max(n_toxic + n_other, 1)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -244,7 +246,7 @@ def fit_sample(texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> Model
     chain_doc = np.ones(len(texts), bool) if for_curve is None else ~for_curve
     curve_doc = chain_doc if for_curve is None else for_curve
     token = chain_doc[b.doc]
-    found = _evidence(group[b.doc[token]], feats[token], toxic)
+    found = _evidence(group[b.doc[token]], feats[token], toxic[b.doc[token]])
     label = (found[feats].any(axis=1) & toxic[b.doc]).astype(float)
     grid = _windows(b.doc, b.first)
     in_chain = chain_doc[b.doc[grid[:, 0]]]

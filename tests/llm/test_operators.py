@@ -343,6 +343,18 @@ def test_near_copy_stage_against_brute_force(spark):
     assert [r["doc_id"] for r in _rows(corpus_pipeline.drop_near_copies(spark, pair, ""))] == [1]  # 18% appended
 
 
+def test_toxic_variants_of_a_clean_text_are_evidence():
+    # 30 groups of a clean text (the root), feature 1 + group, and two toxic variants of it with feature 1000; 60 clean texts apart
+    group = np.concatenate([np.repeat(np.arange(30) * 3, 3), np.arange(90, 150)])
+    toxic = np.array([False, True, True] * 30 + [False] * 60)
+    feats = np.stack([group + 1, np.where(toxic, 1000, 0)], axis=1).astype(np.int32)
+    assert np.flatnonzero(toxicity._evidence(group, feats, toxic)).tolist() == [1000]
+    # a toxic root does not make the words of its clean variants toxic evidence
+    toxic = np.array([True, False, False] * 30 + [False] * 60)
+    feats = np.stack([group + 1, np.where(toxic, 1000, np.where(group < 90, 2000, 0))], axis=1).astype(np.int32)
+    assert np.flatnonzero(toxicity._evidence(group, feats, toxic)).tolist() == [1000]
+
+
 def test_toxicity_learns_words_and_their_forms(spark):
     rnd = random.Random(2)
     clean = ["".join(rnd.choice("aeioulmnrst") for _ in range(rnd.randint(2, 8))) for _ in range(500)]
