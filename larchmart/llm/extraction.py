@@ -6,7 +6,8 @@ ratio of text to tags per line is smoothed with a Gaussian kernel, and the
 lines whose smoothed ratio reaches the threshold (the ratios' mean or standard
 deviation, whichever is less) are clustered: the content region is the
 innermost container that holds most of their text, widened to the article it
-stands in.  Elements that are page furniture by their tag, role or class names
+stands in or, on a page without one, to every container whose further text is
+mostly clustered too.  Elements that are page furniture by their tag, role or class names
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts,
 styles) have ratio 0 and never count.  All other blocks of the region are kept.
 
@@ -162,7 +163,12 @@ def _region(lines: list[tuple[_Element, str, int]]) -> _Element | None:
     held: dict[int, int] = {}
     element: dict[int, tuple[int, _Element]] = {}
     total = 0
+    whole: dict[int, int] = {}
     for (e, text, _), yes in zip(lines, chosen, strict=True):
+        x = e
+        while x is not None:
+            whole[id(x)] = whole.get(id(x), 0) + len(text)
+            x = x.parent
         if not yes:
             continue
         total += len(text)
@@ -178,9 +184,16 @@ def _region(lines: list[tuple[_Element, str, int]]) -> _Element | None:
         return None
     best = max((element[k] for k, n in held.items() if n > MOST * total), key=lambda d: d[0], default=None)
     top = best[1] if best else None
-    e = top
+    e, marked = top, False
     while e is not None:  # widen to the outermost article or main part it stands in
         if e.tag in ("article", "main"):
+            top, marked = e, True
+        e = e.parent
+    if top is None or marked:
+        return top
+    e = top.parent
+    while e is not None:  # without one, to what adds mostly clustered text
+        if e.tag in CONTAINERS and held[id(e)] - held[id(top)] >= MOST * (whole[id(e)] - whole[id(top)]):
             top = e
         e = e.parent
     return top

@@ -171,6 +171,16 @@ def test_extraction_keeps_the_article_only(spark):
     assert got[5]["n_chars"] == len(("plain " * 20000).strip())
 
 
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_extraction_keeps_all_sections_without_an_article(tag):
+    part = lambda name, n: "".join(f"<p>{name} {k} " + "some words of the text " * 8 + "</p>" for k in range(n))
+    html = f"""<html><body><div class="nav"><a>Home</a><a>News</a></div><div><h1>The heading</h1><p>{"An introduction of some length. " * 5}</p>
+    <{tag}><h2>First</h2>{part("big", 12)}</{tag}><{tag}><h2>Second</h2>{part("small", 8)}</{tag}></div><div>{"<p><a>More</a></p>" * 12}</div><footer>end</footer></body></html>"""
+    lines = extraction.main_text(html).split("\n")
+    assert lines[0] == "The heading" and lines[1].startswith("An introduction") and {"First", "Second"} <= set(lines)
+    assert sum(line.startswith(("big", "small")) for line in lines) == 20 and not {"Home", "More", "end"} & set(lines)
+
+
 def _shingles(text, n, lower=False):
     text = re.sub("[A-Z]", lambda m: m[0].lower(), text) if lower else text
     w = WORD.findall(text)
