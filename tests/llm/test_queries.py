@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 def test_registered():
     names = set(E.queries())
     assert {"pipeline"} | {n for n in names if n.startswith("op")} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
