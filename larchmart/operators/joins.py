@@ -5,18 +5,89 @@ interval as a residual predicate.  It needs no custom physical operator:
 Catalyst plans it as a sort-merge (or shuffle-hash) join on the key, the
 range predicate is evaluated per candidate pair of the same key, and AQE's
 skew-join handling can split a hot key on the streamed (fact) side because
-left outer joins allow splitting the left input.  It is the one plan for every
-input: a fact inside two overlapping versions matches both, so that the check
-that ties facts to their source can see the overlap.
+left outer joins allow splitting the left input.  A fact inside two overlapping
+versions matches both, so that the check that ties facts to their source can
+see the overlap.
+
+A key with many versions would pair each of its facts with all of them.
+``time_bins`` therefore cuts the time line of every key that has more than
+``CROWDED`` versions at quantiles of their starts, again inside bins that are
+still crowded, and the join key becomes (key, bin): a version is in every bin
+its interval meets, a fact in the one that holds its instant.  A fact is then
+compared with at most ``CROWDED`` versions, apart from those that are valid
+throughout its bin.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Versions of a key that a fact is compared with, and the parts a crowded bin is cut into.
+CROWDED = 64
+PARTS = 64
+#: A bin's number has PARTS times as many values per cut: so many fit a long.
+MOST_CUTS = 10
+
+
+def _edges(versions: DataFrame, crowded: int) -> DataFrame:
+    """(key, bin, instants that cut it) of the bins with more than ``crowded``
+    versions.  Quantiles are mergeable sketches, so a hot key is summed up in the
+    map tasks; a bin whose versions all start together is not cut."""
+    at = [F.lit(i / PARTS) for i in range(1, PARTS)]
+    bins = versions.groupBy("__pit_key", "__pit_bin").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("__pit_start").alias("first"),
+        F.array_distinct(F.percentile_approx("__pit_start", F.array(*at), F.lit(100 * PARTS))).alias("cuts"),
+    )
+    cuts = F.array_sort(F.filter("cuts", lambda x: x > F.col("first"))).alias("__pit_cuts")
+    return bins.where(F.col("n") > crowded).select(F.col("__pit_key").alias("__cut_key"), F.col("__pit_bin").alias("__cut_bin"), cuts).where(F.size("__pit_cuts") > 0)
+
+
+def _cut(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rows`` with the cuts of their bin (null where it is not cut)."""
+    same = (F.col("__pit_key") == F.col("__cut_key")) & (F.col("__pit_bin") == F.col("__cut_bin"))
+    return rows.join(edges, same, "left").drop("__cut_key", "__cut_bin")
+
+
+def _below(instant: Column, strictly: bool = False) -> Column:
+    """Number of cuts up to ``instant``: the part of the bin it falls in."""
+    inside = (lambda x: x < instant) if strictly else (lambda x: x <= instant)
+    return F.coalesce(F.size(F.filter("__pit_cuts", inside)), F.lit(0)).cast("long")
+
+
+def time_bins(versions: DataFrame, crowded: int = CROWDED) -> tuple[DataFrame, Callable[[DataFrame, str], DataFrame]]:
+    """Versions (``__pit_key``, ``__pit_from``, ``__pit_to``) with their bins, one row
+    per bin, and a function that adds the bin of ``__pit_key`` and an instant to facts.
+
+    Whether another cut is needed is asked of the versions alone, once per cut (once
+    in all where no key is crowded)."""
+    first = F.lit(0).cast("long")
+    # __pit_start: where the version starts within its bin
+    binned = versions.withColumns({"__pit_bin": first, "__pit_start": F.col("__pit_from")})
+    found: list[DataFrame] = []
+    for _ in range(MOST_CUTS):
+        edges = _edges(binned, crowded)
+        if edges.isEmpty():
+            break
+        found.append(edges)
+        last = F.when(F.col("__pit_to").isNull(), F.coalesce(F.size("__pit_cuts"), F.lit(0)).cast("long")).otherwise(_below(F.col("__pit_to"), strictly=True))
+        begins = _below(F.col("__pit_start"))
+        parts = _cut(binned, edges).withColumn("__pit_part", F.explode(F.sequence(begins, F.greatest(begins, last))))
+        start = F.when(F.col("__pit_part") > begins, F.get("__pit_cuts", (F.col("__pit_part") - 1).cast("int"))).otherwise(F.col("__pit_start"))
+        binned = parts.withColumns({"__pit_start": start, "__pit_bin": F.col("__pit_bin") * PARTS + F.col("__pit_part")}).drop("__pit_part", "__pit_cuts")
+
+    def place(facts: DataFrame, instant: str) -> DataFrame:
+        facts = facts.withColumn("__pit_bin", first)
+        for edges in found:
+            facts = _cut(facts, edges).withColumn("__pit_bin", F.col("__pit_bin") * PARTS + _below(F.col(instant))).drop("__pit_cuts")
+        return facts
+
+    return binned.drop("__pit_start"), place
+
+
 def point_in_time_join(
     fact: DataFrame,
     versions: DataFrame,
@@ -27,6 +98,7 @@ def point_in_time_join(
     version_key: str | None = None,
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """Attach to each fact row the version of ``key`` valid at ``fact[ts]``.
 
@@ -34,17 +106,20 @@ def point_in_time_join(
     open-ended.  A NULL ``ts`` never matches.  ``take`` names the version
     columns to carry over.  A fact without a version keeps NULLs.
     """
+    taken = [F.col(c).alias(f"__pit_take_{c}") for c in take]
     v = versions.select(
         F.col(version_key or key).alias("__pit_key"),
         F.col(valid_from).alias("__pit_from"),
         F.col(valid_to).alias("__pit_to"),
-        *[F.col(c) for c in take],
+        *taken,
     )
-    f = fact.alias("__pit_f")
+    binned, place = time_bins(v, crowded)
+    facts = place(fact.withColumn("__pit_key", F.col(key)), ts).withColumnsRenamed({"__pit_key": "__fact_key", "__pit_bin": "__fact_bin"})
     cond = (
-        (F.col(f"__pit_f.{key}") == v["__pit_key"])
-        & (F.col(f"__pit_f.{ts}") >= v["__pit_from"])
-        & (v["__pit_to"].isNull() | (F.col(f"__pit_f.{ts}") < v["__pit_to"]))
+        (F.col("__fact_key") == F.col("__pit_key"))
+        & (F.col("__fact_bin") == F.col("__pit_bin"))
+        & (F.col(ts) >= F.col("__pit_from"))
+        & (F.col("__pit_to").isNull() | (F.col(ts) < F.col("__pit_to")))
     )
-    joined = f.join(v, cond, "left")
-    return joined.select(*[F.col(f"__pit_f.{c}") for c in fact.columns], *[v[c] for c in take])
+    joined = facts.join(binned, cond, "left")
+    return joined.select(*fact.columns, *[F.col(f"__pit_take_{c}").alias(c) for c in take])
