@@ -162,7 +162,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order headers; totals are the sums of their lines (0 without lines)."""
+    """Order headers; totals are the sums of their lines, or the header's own total
+    where there are no lines (without a discount)."""
     totals = (
         _priced_lines(spark, sf_dir)
         .groupBy("l_orderkey")
@@ -171,9 +172,12 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("discount_amount").alias("d"),
         )
     )
-    hdr = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    hdr = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    )
     j = hdr.join(totals, hdr["o_orderkey"] == totals["l_orderkey"], "left")
-    j = j.withColumns({c: F.coalesce(c, F.lit(0).cast(j.schema[c].dataType)) for c in ("g", "d")})
+    own = {"g": F.col("o_totalprice").cast("decimal(12,2)"), "d": F.lit(0)}
+    j = j.withColumns({c: F.coalesce(F.col(c), other.cast(j.schema[c].dataType)) for c, other in own.items()})
     k = F.col("o_orderkey")
     status = (
         F.when(F.col("o_orderstatus") == "F", F.lit("completed"))
