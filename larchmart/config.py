@@ -41,6 +41,9 @@ class WarehouseConfig:
     freshness_error_hours: int = FRESHNESS_ERROR_HOURS
     # Parity default: lines without a header or product drop out (inner joins).
     keep_orphans: bool = False
+    # Share of an entity's documents that may be set apart as malformed before
+    # the build fails its staging model (0: any, as the original casts do).
+    max_reject_share: float = 0.0
     # NTILE bucket count for the RFM scores.
     rfm_tiles: int = 5
 

@@ -221,8 +221,9 @@ def date_spine(spark: SparkSession, cfg: WarehouseConfig, activity: DataFrame |
     With a configured start and length the spine is ``spine_days + 1`` days
     from ``spine_start``.  Otherwise it covers whole calendar years from the
     earliest to the latest instant in ``activity`` (a frame with one
-    timestamp column ``ts``): one global min/max aggregate, then one row
-    exploded into the days - a size bounded by the calendar, not the data.
+    timestamp column ``ts``): one global min/max aggregate, its years dealt
+    over tasks, and every year exploded into its days there, so that a stray
+    date far from the others adds tasks' worth of days, not a longer task.
     """
     if cfg.spine_start is not None and cfg.spine_days is not None:
         start = F.lit(cfg.spine_start.isoformat()).cast("date")
@@ -230,9 +231,9 @@ def date_spine(spark: SparkSession, cfg: WarehouseConfig, activity: DataFrame |
     if activity is None:
         raise ValueError("a data-derived spine needs the activity timestamps")
     bounds = activity.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    first = F.make_date(F.year("lo"), F.lit(1), F.lit(1))
-    last = F.make_date(F.year("hi"), F.lit(12), F.lit(31))
-    return bounds.select(F.explode(F.sequence(first, last)).alias("full_date"))
+    years = bounds.select(F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("year")).repartition("year")
+    day = lambda month, day: F.make_date(F.col("year"), F.lit(month), F.lit(day))
+    return years.select(F.explode(F.sequence(day(1, 1), day(12, 31))).alias("full_date"))
 
 
 def activity_instants(orders: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ table.  ``shared()`` keeps one such instance per session and input folder.
 
 from __future__ import annotations
 
-import os
 import threading
 import uuid
 from functools import cached_property
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import FIXTURE_CONFIG, WarehouseConfig
 from ..operators.staging import parse_entity
 from ..session import work_dir
-from ..sources import fixtures
+from ..sources import files, fixtures
 from . import models as M
 from . import reports as R
 
@@ -163,10 +162,14 @@ class Warehouse:
         return M.dim_date(self.spark, self.cfg, self.activity)
 
     @cached_property
-    def fct_orders(self) -> DataFrame:
+    def keyed_margins(self) -> DataFrame:
+        """``int_order_margins`` with the product's dimension key: what the fact reads."""
         catalog = M.keyed_products(self._get("stg_products"), self._get("dim_products"))
-        lines = M.int_order_margins(self._get("stg_order_items"), self._get("stg_orders"), catalog, self.cfg.keep_orphans)
-        return M.fct_orders(lines, self._get("dim_customers"), self.cfg)
+        return M.int_order_margins(self._get("stg_order_items"), self._get("stg_orders"), catalog, self.cfg.keep_orphans)
+
+    @cached_property
+    def fct_orders(self) -> DataFrame:
+        return M.fct_orders(self._get("keyed_margins"), self._get("dim_customers"), self.cfg)
 
     @cached_property
     def fct_sessions(self) -> DataFrame:
@@ -202,13 +205,18 @@ class Warehouse:
         return R.q5_segments(self._get("mart_customer_360"))
 
 
+# source tables of the warehouse: their files are part of a shared instance's key
+SOURCES = ("nation", "customer", "part", "orders", "lineitem", "events")
+
 _SHARED: dict[tuple, Warehouse] = {}
 _SHARED_LOCK = threading.Lock()
 
 
 def shared(spark: SparkSession, sf_dir: str, cfg: WarehouseConfig = FIXTURE_CONFIG) -> Warehouse:
-    """The session's materialising warehouse over the tables in ``sf_dir``."""
-    key = (spark.conf.get("spark.app.id", None) or id(spark), os.path.abspath(sf_dir), repr(cfg))
+    """The session's materialising warehouse over the tables in ``sf_dir`` as they
+    are: other files there (or changed ones) make another instance."""
+    found = tuple(files.listing(spark, f"{sf_dir}/{name}.parquet") for name in SOURCES)
+    key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir, found, repr(cfg))
     with _SHARED_LOCK:
         wh = _SHARED.get(key)
         if wh is None:

@@ -7,6 +7,7 @@ import pytest
 from larchmart.config import WarehouseConfig
 from larchmart.operators.quality import QualityGateError
 from larchmart.plans import build as warehouse_build
+from larchmart.plans import models as M
 
 CFG = WarehouseConfig(categories=("Toys",))
 
@@ -89,3 +90,58 @@ def test_dimension_independent_of_input_order(spark):
     a = M.dim_customers(stg, FIXTURE_CONFIG)
     b = M.dim_customers(stg.repartition(7).orderBy(F.rand(seed=3)), FIXTURE_CONFIG)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_malformed_documents_are_set_apart_and_counted(spark, raw):
+    import json
+
+    tables = _raw(raw)
+    good = [r.payload for r in tables["order_items"].collect()]
+    bad = json.loads(good[0]) | {"order_item_id": "I2", "quantity": "two", "net_amount": "4,0"}
+    tables["order_items"] = raw([*good, json.dumps(bad), "{broken", "[1]"])
+    out = tempfile.mkdtemp(prefix="lm-build-")
+    # the configuration allows them: the build goes through with a warning
+    res = warehouse_build.build(spark, tables, CFG.with_(max_reject_share=0.75), out)
+    assert res.failed == [] and res.tables["fct_orders"].count() == 1
+    row = res.checks.where("check_name = 'parses'").first()
+    assert (row.model, row.violations, row.severity, row.status) == ("stg_order_items", 3, "warn", "warn")
+    apart = {r.payload: r.bad_keys for r in res.rejects["stg_order_items"].collect()}
+    assert apart == {json.dumps(bad): ["quantity", "net_amount"], "{broken": [], "[1]": []}
+    # by default any malformed document fails its model, and what descends from it is not built
+    with pytest.raises(QualityGateError, match="parses") as caught:
+        warehouse_build.build(spark, tables, CFG, tempfile.mkdtemp(prefix="lm-build-"))
+    assert caught.value.result.failed == ["stg_order_items"]
+    assert set(caught.value.result.skipped) == {"int_order_margins", "fct_orders", "fct_daily_sales", "mart_customer_360"}
+    assert caught.value.result.rejects["stg_order_items"].count() == 3
+
+
+def test_stale_source_stops_its_descendants(spark, raw):
+    from datetime import datetime
+
+    tables = _raw(raw)
+    sessions = [(r.payload, "2024-12-25 00:00:00") for r in tables["sessions"].collect()]
+    tables["sessions"] = raw(sessions)
+    out = tempfile.mkdtemp(prefix="lm-build-")
+    with pytest.raises(QualityGateError, match="raw_sessions: stale") as caught:
+        warehouse_build.build(spark, tables, CFG, out, as_of=datetime(2025, 1, 1, 12))
+    res = caught.value.result
+    assert res.failed == ["raw_sessions"]
+    assert set(res.skipped) == {"stg_sessions", "int_sessions", "fct_sessions", "mart_customer_360"}
+    assert res.tables["fct_daily_sales"].count() == 1
+    assert {r["source"]: r["status"] for r in res.freshness}["raw_orders"] == "pass"
+    # a warning stops nothing
+    res = warehouse_build.build(spark, _raw(raw), CFG, tempfile.mkdtemp(prefix="lm-build-"), as_of=datetime(2025, 1, 2, 12))
+    assert res.failed == [] and {r["status"] for r in res.freshness} == {"warn"}
+
+
+def test_margins_are_joined_once(spark, raw):
+    """Checks and fact read the written margins; the same rows as without."""
+    out = tempfile.mkdtemp(prefix="lm-build-")
+    once = warehouse_build.build(spark, _raw(raw), CFG, out)
+    twice = warehouse_build.build(spark, _raw(raw), CFG, tempfile.mkdtemp(prefix="lm-build-"), materialize_views=False)
+    assert "Join" not in once.tables["int_order_margins"]._jdf.queryExecution().executedPlan().toString()
+    for model in ("fct_orders", "mart_customer_360"):
+        assert once.tables[model].collect() == twice.tables[model].collect()
+    plain = M.int_order_margins(*[twice.tables[f"stg_{e}"] for e in ("order_items", "orders", "products")])
+    assert once.tables["int_order_margins"].columns == plain.columns
+    assert once.tables["int_order_margins"].collect() == plain.collect()

@@ -32,3 +32,11 @@ def test_rejects(raw):
     docs = ['{"order_item_id": "I1", "quantity": "five"}', "not json", {"order_item_id": "I2", "quantity": 2}]
     bad = {r.id: r.bad_keys for r in rejects(raw(docs), "order_items").collect()}
     assert bad == {0: ["quantity"], 1: []}
+
+
+def test_rejects_of_every_kind(spark, raw):
+    """What is not one JSON object, and values that do not cast; null payloads, too."""
+    texts = ['{"quantity": 1}', '  {"quantity": "2"}\n', "{}", "", " ", "7", '"x"', "null", "[1]", '[{"quantity": 1}]', "{broken", '{"quantity": 1', '{"quantity": [1]}', '{"quantity": {"a": 1}}', '{"unit_price": "1,5", "quantity": "x"}', '{"quantity": null}']
+    frame = raw(texts).unionByName(spark.createDataFrame([(99, None, None)], "id long, payload string, _ingested_at timestamp_ntz"))
+    bad = {r.id: r.bad_keys for r in rejects(frame, "order_items").collect()}
+    assert bad == {i: [] for i in (3, 4, 5, 6, 7, 8, 9, 10, 11, 99)} | {12: ["quantity"], 13: ["quantity"], 14: ["quantity", "unit_price"]}
