@@ -293,19 +293,30 @@ def group_links(rows: DataFrame, rule: Rule) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """class, label: the least class of the component, for classes with edges.
 
-    Labels move along edges, then every label jumps to its label's label; the
-    number of rounds follows the logarithm of a component's diameter."""
-    both = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = cut(both.groupBy(F.col("a").alias("class")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("class").alias("__b"), "label"), F.col("b") == F.col("__b"))
-        least = near.groupBy(F.col("a").alias("__a")).agg(F.min("label").alias("near"))
-        step = cut(labels.join(least, F.col("class") == F.col("__a")).select("class", F.col("label").alias("old"), F.least("label", "near").alias("label")), "step")
-        jump = step.select(F.col("class").alias("__c"), F.col("label").alias("far"))
-        nxt = cut(step.join(jump, F.col("label") == F.col("__c")).select("class", "old", F.least("label", "far").alias("label")), "labels")
-        labels = nxt.select("class", "label")
-        if nxt.where("label <> old").isEmpty():
-            return labels
+    Every class hangs on its least neighbour, and by jumps from label to label on the
+    root of that tree; then both ends of every edge become their roots, and edges
+    within a tree, or doubled, go.  Only least classes among their neighbours are left,
+    at most half of them, so edges are few after the first round."""
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    live = cut(edges.select(low, high).where("a < b").distinct(), "edges")
+    total = live.select(F.col("a").alias("class"), F.col("b").alias("label"))
+    first = True
+    while not live.isEmpty():
+        up = live.select(F.col("b").alias("class"), F.col("a").alias("label")).unionByName(live.select(F.col("a").alias("class"), F.col("a").alias("label")))
+        roots, moved = cut(up.groupBy("class").agg(F.min("label").alias("label")), "labels"), True
+        while moved:
+            jump = roots.select(F.col("class").alias("__c"), F.col("label").alias("far"))
+            step = cut(roots.join(jump, F.col("label") == F.col("__c")).select("class", F.col("label").alias("old"), F.col("far").alias("label")), "labels")
+            roots, moved = step.select("class", "label"), not step.where("label <> old").isEmpty()
+        at = roots.select(F.col("class").alias("__c"), F.col("label").alias("__root"))
+        if first:
+            total, first = roots, False
+        else:
+            total = cut(total.join(at, F.col("label") == F.col("__c"), "left").select("class", F.coalesce("__root", "label").alias("label")), "labels")
+        half = live.join(at, F.col("a") == F.col("__c")).select(F.col("__root").alias("a"), "b")
+        whole = half.join(at, F.col("b") == F.col("__c")).select("a", F.col("__root").alias("b"))
+        live = cut(whole.select(low, high).where("a < b").distinct(), "edges")
+    return total
 
 
 def _blocks(members: DataFrame, block: int) -> DataFrame:

@@ -387,3 +387,25 @@ def test_toxicity_learns_words_and_their_forms(spark):
     assert toxicity.score_toxicity(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
     none = toxicity.fit(docs, labels.limit(0))
     assert {r["score"] for r in _rows(toxicity.score_toxicity(docs, none))} == {0.0}
+
+
+@pytest.mark.parametrize("shape", ["path", "star", "random", "loops", "none"])
+def test_components_of_any_shape(spark, shape):
+    """Long paths in rising, falling and mixed order, a hub, and doubled edges."""
+    rnd = random.Random(9)
+    if shape == "path":
+        mixed = rnd.sample(range(1000, 1060), 60)
+        edges = [(i, i + 1) for i in range(60)] + [(200 - i, 199 - i) for i in range(60)] + list(zip(mixed, mixed[1:]))
+    elif shape == "star":
+        edges = [(500, i) for i in range(300)] + [(-5, 7)]
+    elif shape == "random":
+        edges = [(rnd.randrange(150), rnd.randrange(150)) for _ in range(110)]
+    else:
+        edges = [(1, 1), (2, 3), (3, 2), (2, 3)] if shape == "loops" else []
+    label = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in label:
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    got = ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r["class"]: r["label"] for r in got} == label and len(got) == len(label)
