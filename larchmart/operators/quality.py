@@ -9,11 +9,12 @@ return (zero = pass).  Semantics per kind:
 * ``relationships``   child rows whose non-NULL key has no parent row
 * ``expression``      rows where the predicate is false (NULL passes)
 
-Cost model: all ``not_null`` / ``accepted_values`` / ``expression`` checks of
-one model are folded into ONE aggregate over that model (one scan, partial
-aggregation, a one-row result exploded into one row per check).  ``unique``
-is a grouped count; ``relationships`` a left-anti join that Catalyst plans
-against the parent's key column only.
+Cost model: all ``not_null`` and ``expression`` checks of one model are folded
+into one aggregate over that model (one scan, partial aggregation, a one-row
+result exploded into one row per check), its ``accepted_values`` into a second
+scan that only violating values leave.  ``unique`` is a grouped count;
+``relationships`` a left-anti join that Catalyst plans against the parent's key
+column only.
 """
 
 from __future__ import annotations
