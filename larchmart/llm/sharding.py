@@ -5,9 +5,15 @@ does not grow with the data); bytes are summed per slot; a versioned table
 maps every slot to a shard and is edited, not rebuilt, when the shards are out
 of balance.  Law of the result: ``bytes`` - the shards' sizes are near equal.
 
-Defined results: a null text has no bytes (size 1); a null id hashes by its
-text; repeated rows are rows of their own; an empty table gives an empty
-result (the map then stays at its first version); other columns are ignored.
+A row hashes by id and text, so that rows under one id are spread.  Where a
+slot is still heavier than a ``HEAVY``-th of a shard (a row that repeats very
+often, or a very long one), its rows are dealt over all slots one by one.
+
+Defined results: a null text has no bytes (size 1); a null id hashes like any
+other; repeated rows are rows of their own; an empty table gives an empty
+result (the map's next version then equals its newest); other columns are
+ignored.  A folder that holds a map is read at its newest version, edited, and
+given the next one; shards beyond the number asked for are emptied.
 """
 
 from __future__ import annotations
@@ -15,28 +21,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import listing
 from .common import cut, shared_path, table, text_or_empty
 
 SHARDS = 16
 SLOTS = 4096
+#: A slot heavier than this part of a shard's mean load is taken apart.
+HEAVY = 16
 
 
 def slot_of(doc_id: Column, text: Column, slots: int) -> Column:
-    """Virtual slot of a row: a hash of its id (of its text where it has none)."""
-    return F.pmod(F.when(doc_id.isNotNull(), F.xxhash64(doc_id)).otherwise(F.xxhash64(text)), F.lit(slots))
+    """Virtual slot of a row: a hash of its id and text."""
+    return F.pmod(F.xxhash64(doc_id, text), F.lit(slots))
 
 
 def sized_rows(docs: DataFrame, slots: int) -> DataFrame:
-    """doc_id, size (UTF-8 bytes + 1), text_crc32, virtual_slot of every row."""
+    """doc_id, size (UTF-8 bytes + 1), text_crc32, virtual_slot and a number of every row."""
     text = text_or_empty()
     return docs.select(
         "doc_id",
         (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         slot_of(F.col("doc_id"), text, slots).cast("long").alias("virtual_slot"),
+        F.monotonically_increasing_id().alias("nth"),
     )
 
 
+def without_heavy_slots(rows: DataFrame, slots: int, shards: int) -> DataFrame:
+    """``rows`` (written: their numbers must not change) with the rows of heavy
+    slots dealt over all slots; fewer than HEAVY * shards slots can be heavy."""
+    per = slot_bytes(rows)
+    total = per.agg(F.sum("bytes")).scalar()
+    heavy = per.where(F.col("bytes") * F.lit(HEAVY * shards) > total).select(F.col("virtual_slot").alias("__slot"))
+    dealt = F.pmod(F.xxhash64("doc_id", "text_crc32", "nth"), F.lit(slots)).cast("long")
+    marked = rows.join(F.broadcast(heavy), F.col("virtual_slot") == F.col("__slot"), "left")
+    return marked.withColumn("virtual_slot", F.when(F.col("__slot").isNull(), F.col("virtual_slot")).otherwise(dealt)).drop("__slot", "nth")
+
+
 def first_map(spark: SparkSession, slots: int, shards: int) -> DataFrame:
     """Version 0: the slots dealt to the shards in turn."""
     return spark.range(slots).select(
@@ -62,7 +83,8 @@ def rebalance(slot_map: DataFrame, weights: DataFrame, shards: int) -> DataFrame
     )
     held = Window.partitionBy("shard").orderBy(F.desc("bytes"), "virtual_slot").rowsBetween(Window.unboundedPreceding, 0)
     w = w.withColumn("upto", F.sum("bytes").over(held)).withColumn(
-        "stays", (F.col("upto") <= F.sum("bytes").over(Window.partitionBy()) / F.lit(shards)) | (F.col("bytes") == 0)
+        "stays",
+        (F.col("shard") < shards) & ((F.col("upto") <= F.sum("bytes").over(Window.partitionBy()) / F.lit(shards)) | (F.col("bytes") == 0)),
     )
     entry = F.struct((-F.col("bytes")).alias("neg"), F.col("virtual_slot"))
     state = w.agg(
@@ -96,6 +118,13 @@ def store_map(slot_map: DataFrame, folder: str) -> None:
     slot_map.write.mode("append").partitionBy("version").parquet(folder)
 
 
+def newest_version(spark: SparkSession, folder: str) -> int | None:
+    """The newest version in the map's folder; None where it holds no map."""
+    if not any(path.endswith(".parquet") for path, _, _ in listing(spark, folder)):
+        return None
+    return spark.read.parquet(folder).agg(F.max("version")).first()[0]
+
+
 def read_map(spark: SparkSession, folder: str, version: int) -> DataFrame:
     return spark.read.parquet(folder).where(F.col("version") == version)
 
@@ -104,16 +133,23 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, m
     """doc_id, size, text_crc32, shard, slot (the row's place in its shard, from
     0 without gaps), virtual_slot, map_version of every row of ``docs``.
 
-    Map versions 0 (as dealt) and 1 (rebalanced on the slots' bytes) are stored
-    in ``map_folder`` (default: a new folder in the shared folder).
+    The newest map of ``map_folder`` (default: a new folder in the shared folder;
+    version 0, as dealt, where it holds none) is edited on the slots' bytes, and
+    stored as the next version.
     """
     spark = docs.sparkSession
     folder = map_folder or shared_path(spark, "slot-map")
-    rows = cut(sized_rows(docs, slots), "sized")
+    rows = without_heavy_slots(cut(sized_rows(docs, slots), "sized"), slots, shards)
     weights = slot_bytes(rows)
-    store_map(first_map(spark, slots, shards), folder)
-    store_map(rebalance(read_map(spark, folder, 0), weights, shards), folder)
-    edited = read_map(spark, folder, 1)
+    version = newest_version(spark, folder)
+    if version is None:
+        version = 0
+        store_map(first_map(spark, slots, shards), folder)
+    newest = read_map(spark, folder, version)
+    if newest.count() != slots:
+        raise ValueError(f"the map in {folder} has {newest.count()} slots, not {slots}")
+    store_map(rebalance(newest, weights, shards), folder)
+    edited = read_map(spark, folder, version + 1)
     # a row per virtual slot: the prefix windows are bounded by the slots
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     placed = edited.join(weights, "virtual_slot", "left").select(
