@@ -179,11 +179,11 @@ def shingle_rows(docs: DataFrame, rule: Rule, share: float = 1.0) -> DataFrame:
     return arrow_map(docs.select(text_or_empty().alias("text")), run, "shingle long, class long")
 
 
-def _with_texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
+def _with_texts(docs: DataFrame, reps: DataFrame, hint: str | None = "merge") -> DataFrame:
     """``reps`` (class, __id, __hash and others) with the text of a row of that id and hash."""
     src = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    # the candidates follow the corpus, so no size of theirs makes a broadcast safe
-    found = src.join(reps.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
+    # candidates that follow the corpus are joined by the hint, at every size alike
+    found = src.join(reps.hint(hint) if hint else reps, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
     return found.dropDuplicates(["class"])
 
 
@@ -194,8 +194,9 @@ def may_link(docs: DataFrame, classes: DataFrame, rule: Rule) -> tuple[DataFrame
     sets = classes.where("`class` IS NOT NULL").groupBy("class", "n_shingles").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
     left = sets.join(alone, F.col("class") == F.col("__class"), "left")
     left = left.where(F.coalesce("alone", F.lit(0)) * rule.den <= F.col("n_shingles") * (rule.den - rule.num))
-    left = left.select("class", "n_shingles", F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash"))
-    left = cut(_with_texts(docs, left).select("doc_id", "text", "text_hash", "class", "n_shingles"), "may-link")
+    left = cut(left.select("class", "n_shingles", F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash")), "left")
+    # few are left; their file's size, which Catalyst checks, decides whether all texts move
+    left = cut(_with_texts(docs, left, None).select("doc_id", "text", "text_hash", "class", "n_shingles"), "may-link")
     return left.select("doc_id", "text"), left.select("doc_id", "text_hash", "n_shingles", "class")
 
 
@@ -386,14 +387,18 @@ def keep_one(docs: DataFrame, rule: Rule = QUERY_RULE) -> DataFrame:
     """The documents without those that link, directly or not, with one of a
     lower id; of rows equal in id and text one stays, rows without an id stay
     unless they link with a row that has one, rows without words stay."""
-    docs = without(docs, "__id", "__hash", "__text_hash")
-    linked = link_documents(docs, rule=rule)
-    goes = linked.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    goes = cut(goes.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "goes")
+    docs = without(docs, "__id", "__hash", "__goes", "__text_hash")
+    goes = F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    marks = link_documents(docs, rule=rule).groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    marks = marks.agg(F.max(goes).alias("__goes"), F.count(F.lit(1)).alias("n"))
+    marks = cut(marks.where("__goes OR (n > 1 AND __id IS NOT NULL)").select("__id", "__hash", "__goes"), "marks")
+    repeated = cut(marks.where("NOT __goes").select("__id", "__hash"), "repeated")
     hashed = docs.withColumn("__text_hash", F.xxhash64(text_or_empty()))
-    rest = hashed.join(goes, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left_anti")
-    named = rest.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "__text_hash"])
-    return named.unionByName(rest.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
+    # the marks follow the corpus: whole texts move once, at every size
+    single = hashed.join(marks.hint("merge"), same, "left_anti")
+    one = hashed.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "__text_hash"])
+    return single.unionByName(one).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
