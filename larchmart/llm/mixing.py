@@ -11,9 +11,13 @@ is rounded outright, and that error is settled on the last group's documents.  G
 to one residual each, the residuals are grouped and reduced again: a tree
 whose groups never depend on how large a source is.
 
+Rows equal in id, source and text are one unit: as many of them as their common
+expectation says take one copy more, and what is left of it is the fraction of
+one row, so no unit's mass exceeds one document's, however often it repeats.
+
 Defined results: a null text has size 0 and takes nothing; a null source is a
-source of its own, last in order; rows equal in id, source and size share one
-decision; a source whose documents are all empty has target 0; an empty table
+source of its own, last in order; which of the rows of a unit take one copy more
+is open (they are equal but for extra columns); a source whose documents are all empty has target 0; an empty table
 gives an empty result; other columns are kept by ``mix_sources`` and ignored
 by ``mix_plan``.
 """
@@ -24,7 +28,7 @@ import hashlib
 import random
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, cut, ship, table, text_or_empty, without
@@ -36,13 +40,18 @@ CAP = 3.0
 FAN_IN = 1024
 SEED = 20260
 
+#: Rows of a unit that one task writes out at most.
+ROWS = 1 << 16
+
 _EPS = 1e-9
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """Rows equal in id, source and size, with their number."""
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"))
-    return sized.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
+    """Rows equal in id, source and text, with their number."""
+    sized = docs.select(
+        "doc_id", F.col("source").cast("string").alias("source"), F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"), F.xxhash64(text_or_empty()).alias("text_hash")
+    )
+    return sized.groupBy("doc_id", "source", "size", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
@@ -126,20 +135,24 @@ def _reducer(final: bool):
     return reduce_group
 
 
-def mix_plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, fan_in: int = FAN_IN) -> DataFrame:
-    """doc_id, source, size, rows, source_size, target, copies: one row per
-    distinct (id, source, size); its ``rows`` rows are each taken ``copies`` times."""
+def decide(docs: DataFrame, weights: tuple[float, ...], cap: float, fan_in: int) -> DataFrame:
+    """doc_id, source, size, text_hash, rows, source_size, target, sure, more: one
+    row per unit, whose ``rows`` rows are each taken ``sure`` times and ``more`` of
+    them once more."""
     ship(docs.sparkSession)
     u = cut(units(docs), "units")
     targets = cut(source_targets(u, weights, cap), "targets")
     t = targets.select(F.col("source").alias("__source"), "n", "source_size", "target")
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    key = F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("size").cast("string")), 256)
+    key = F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("size").cast("string"), F.col("text_hash").cast("string")), 256)
+    per_row = F.when(F.col("size") > 0, F.greatest(wanted - F.col("sure"), F.lit(0.0))).otherwise(F.lit(0.0))
     start = (
         u.join(t, F.col("source").eqNullSafe(F.col("__source")))
         .withColumn("sure", F.floor(wanted + F.lit(_EPS)).cast("long"))
-        .withColumn("p", F.when(F.col("size") > 0, F.greatest(wanted - F.col("sure"), F.lit(0.0))).otherwise(F.lit(0.0)))
-        .withColumn("mass", (F.col("size") * F.col("rows")).cast("double"))
+        .withColumn("p", per_row * F.col("rows"))
+        .withColumn("more", F.floor(F.col("p") + F.lit(_EPS)).cast("long"))
+        .withColumn("p", F.greatest(F.col("p") - F.col("more"), F.lit(0.0)))
+        .withColumn("mass", F.col("size").cast("double"))
         .withColumn("doc_key", key)
         .withColumn("done", F.col("p") <= _EPS)
         .drop("__source")
@@ -162,21 +175,66 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float =
     every = decided[0]
     for d in decided[1:]:
         every = every.unionByName(d)
-    return every.select("doc_id", "source", "size", "rows", "source_size", "target", (F.col("sure") + F.col("p").cast("long")).alias("copies"))
+    return every.select("doc_id", "source", "size", "text_hash", "rows", "source_size", "target", "sure", (F.col("more") + F.col("p").cast("long")).alias("more"))
+
+
+def mix_plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, fan_in: int = FAN_IN) -> DataFrame:
+    """doc_id, source, size, rows, source_size, target, copies: ``rows`` equal rows
+    that are each taken ``copies`` times; a unit whose rows differ in that is two rows."""
+    kinds = F.array(
+        F.struct(F.col("more").alias("rows"), (F.col("sure") + 1).alias("copies")),
+        F.struct((F.col("rows") - F.col("more")).alias("rows"), F.col("sure").alias("copies")),
+    )
+    plan = decide(docs, weights, cap, fan_in).select("doc_id", "source", "size", "source_size", "target", F.explode(kinds).alias("k"))
+    return plan.where("k.rows > 0").select("doc_id", "source", "size", F.col("k.rows").alias("rows"), "source_size", "target", F.col("k.copies").alias("copies"))
+
+
+def each_row(plan: DataFrame) -> DataFrame:
+    """``plan`` (of ``mix_plan``) with a row for each of its ``rows``; those that
+    repeat very often are dealt over the tasks in stretches of ``ROWS``."""
+    few = plan.where(F.col("rows") <= ROWS)
+    many = plan.where(F.col("rows") > ROWS).withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(ROWS).cast("long"))))
+    many = many.withColumn("rows", F.least(F.lit(ROWS).cast("long"), F.col("rows") - F.col("__from"))).repartition("doc_id", "__from").drop("__from")
+    return few.unionByName(many).withColumn("__row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))).drop("__row")
+
+
+def _first_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` of units of which only ``__more`` rows take one copy more, with
+    ``__copies``; rows are counted in the parts they were read in, so that a unit
+    never arrives in one task."""
+    unit = ["__id", "__source", "__n", "__hash"]
+    before = Window.partitionBy(*unit).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    per = rows.groupBy(*unit, "__part").agg(F.count(F.lit(1)).alias("__in"))
+    per = per.withColumn("__before", F.coalesce(F.sum("__in").over(before), F.lit(0))).select(*[F.col(c).alias(f"{c}_p") for c in [*unit, "__part"]], "__before")
+    same = F.lit(True)
+    for c in [*unit, "__part"]:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_p"))
+    numbered = rows.withColumn("__nth", F.row_number().over(Window.partitionBy(*unit, "__part").orderBy("__part")))
+    first = F.col("__nth") + F.col("__before") <= F.col("__more")
+    return numbered.join(per, same).withColumn("__copies", F.col("__sure") + F.when(first, 1).otherwise(0))
 
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, fan_in: int = FAN_IN) -> DataFrame:
     """The mixed documents: every row of ``docs`` as often as the mix takes it."""
-    docs = without(docs, "__size", "__copies", "__copy", "__id", "__source", "__n")
-    plan = mix_plan(docs, weights, cap, fan_in).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__n"), F.col("copies").alias("__copies"))
-    plan = cut(plan.where("__copies > 0"), "copies")
-    sized = docs.withColumn("__size", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source")) & (F.col("__size") == F.col("__n"))
-    taken = sized.join(plan, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+    docs = without(docs, "__text", "__size", "__copies", "__copy", "__id", "__source", "__n", "__hash", "__sure", "__more", "__rows", "__part", "__nth")
+    plan = decide(docs, weights, cap, fan_in).where("sure > 0 OR more > 0").select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__n"), F.col("text_hash").alias("__hash"),
+        F.col("rows").alias("__rows"), F.col("sure").alias("__sure"), F.col("more").alias("__more"),
+    )
+    plan = cut(plan, "copies")
+    uneven = F.col("__more").between(1, F.col("__rows") - 1)
+    parted = cut(plan.where(uneven).drop("__rows"), "parted")  # units with rows of both kinds: only repeated rows
+    alike = plan.where(~uneven).withColumn("__copies", F.col("__sure") + F.when(F.col("__more") > 0, 1).otherwise(0))
+    src = docs.withColumn("__text", F.xxhash64(text_or_empty()))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source")) & (F.col("__text") == F.col("__hash"))
+    # the plan follows the corpus: whole texts move once, at every size
+    taken = src.join(alike.hint("merge"), same).select(*[F.col(f"`{c}`") for c in docs.columns], "__copies")
+    rows = cut(src.withColumn("__part", F.spark_partition_id()).join(parted, same), "repeated")
+    taken = taken.unionByName(_first_rows(rows).select(*taken.columns)).where("__copies > 0")
+    copies = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mix_plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    rows = plan.withColumn("__row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+    rows = each_row(mix_plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
