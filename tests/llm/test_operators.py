@@ -65,6 +65,32 @@ def test_mixing_reaches_targets_and_reruns_agree(docs, empty):
     assert [c for c in mixed.columns] == docs.columns and mixed.count() == sum(r["rows"] * r["copies"] for r in plan if r["size"] or r["copies"])
 
 
+def test_mixing_of_a_third_of_rows_under_one_id(spark):
+    """Equal rows are dealt one by one: a source that is mostly one repeated row keeps its target."""
+    rows = [(1, "a b c d e f g", "s1", 1)] * 1500 + [(2, None, "s2", 1)] * 5 + [(i, "w " * (i % 9), f"s{1 + i % 3}", 1) for i in range(10, 1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(5)
+    plan = _rows(mixing.mix_plan(docs))
+    assert sum(r["rows"] for r in plan) == len(rows)
+    taken = Counter()
+    for r in plan:
+        assert 0 <= r["copies"] <= 3
+        taken[r["source"]] += r["size"] * r["rows"] * r["copies"]
+    targets = {r["source"]: r["target"] for r in plan}
+    assert all(abs(taken[s] - t) <= 9 for s, t in targets.items())
+    assert mixing.each_row(mixing.mix_plan(docs)).count() == len(rows)
+    mixed = Counter(r["doc_id"] for r in _rows(mixing.mix_sources(docs)))
+    want = Counter()
+    for r in plan:
+        want[r["doc_id"]] += r["rows"] * r["copies"]
+    assert mixed == +want
+
+
+def test_rows_that_repeat_very_often_are_dealt_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS", 7)
+    plan = spark.createDataFrame([(1, 50, 2), (2, 7, 1), (3, 1, 0)], "doc_id long, rows long, copies long")
+    assert Counter(r["doc_id"] for r in _rows(mixing.each_row(plan))) == {1: 50, 2: 7, 3: 1}
+
+
 def test_targets_are_water_filled(spark):
     sized = spark.createDataFrame([("a", 10, 1), ("b", 1000, 1), ("c", 90, 1), (None, 100, 1)], "source string, size long, rows long")
     got = {r["source"]: r["target"] for r in _rows(mixing.source_targets(sized))}
@@ -113,6 +139,37 @@ def test_sharding_by_bytes(docs, empty, shards):
     assert sharding.shard_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("text", [None, "always the same"])
+def test_sharding_of_a_third_of_rows_under_one_id(spark, text):
+    rnd = random.Random(4)
+    rows = [(0 if i % 3 == 0 else i, text if i % 3 == 0 else "x" * rnd.randint(0, 60)) for i in range(6000)]
+    got = _rows(sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    sizes, places = Counter(), defaultdict(list)
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+    assert len(got) == len(rows) and all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert max(sizes.values()) - min(sizes.values()) <= 0.05 * sum(sizes.values()) / 16
+    per_slot = Counter(r["virtual_slot"] for r in got if r["doc_id"] == 0)
+    assert max(per_slot.values()) <= 20
+
+
+def test_a_stored_slot_map_is_read_and_edited(spark):
+    folder = shared_path(spark, "test-map")
+    docs = spark.createDataFrame([(i, "x" * (i * 7 % 90)) for i in range(3000)], "doc_id long, text string").repartition(3)
+    first = {(r["doc_id"]): r for r in _rows(sharding.shard_documents(docs, 8, 256, folder))}
+    second = {(r["doc_id"]): r for r in _rows(sharding.shard_documents(docs, 8, 256, folder))}
+    assert len(second) == 3000 and {r["map_version"] for r in first.values()} == {1} and {r["map_version"] for r in second.values()} == {2}
+    assert sum(first[i]["shard"] != second[i]["shard"] for i in first) < 3000 / 10
+    fewer = _rows(sharding.shard_documents(docs, 5, 256, folder))
+    sizes = Counter()
+    for r in fewer:
+        sizes[r["shard"]] += r["size"]
+    assert len(fewer) == 3000 and set(sizes) == set(range(5)) and max(sizes.values()) <= 1.1 * sum(sizes.values()) / 5
+    with pytest.raises(ValueError):
+        sharding.shard_documents(docs, 5, 128, folder)
+
+
 def test_slot_map_edit_moves_little(spark):
     first = sharding.first_map(spark, 64, 4)
     even = spark.range(64).selectExpr("id as virtual_slot", "10L as bytes", "1L as n_rows")
@@ -312,6 +369,7 @@ def test_ngram_join_against_brute_force(docs, empty, block):
         if r["doc_id"] is not None:
             assert (r["component_id"], r["n_shingles"]) == (find(r["doc_id"]), len(size[r["doc_id"]]))
     kept = _rows(ngram_join.keep_one(docs))
+    assert len([r for r in kept if r["doc_id"] is None]) == 1 and ngram_join.keep_one(empty).count() == 0
     named = [r["doc_id"] for r in kept if r["doc_id"] is not None]
     assert sorted(named) == sorted(i for i in root if find(i) == i) and list(kept[0]) == docs.columns
 
