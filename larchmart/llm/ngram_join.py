@@ -22,7 +22,7 @@ one class, and classes are joined:
    decided by intersecting the sorted arrays.
 
 Below ``THIN`` the parts would hold so few shingles that most of a corpus would
-share tiles, so there tiles are single shingles.  Of the shingles below a fixed
+share tiles, so there a tile is (band, single shingle).  Of the shingles below a fixed
 hash, a set with more than ``1 - threshold`` of its size found in no other set
 links with nothing.  The sets left are ordered with shingles found in one set
 first, then by hash: linked sets share a shingle among the first
@@ -45,7 +45,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, chunks, cut, table, text_or_empty, without
@@ -179,11 +179,11 @@ def shingle_rows(docs: DataFrame, rule: Rule, share: float = 1.0) -> DataFrame:
     return arrow_map(docs.select(text_or_empty().alias("text")), run, "shingle long, class long")
 
 
-def _with_texts(docs: DataFrame, reps: DataFrame, hint: str | None = "merge") -> DataFrame:
+def _with_texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """``reps`` (class, __id, __hash and others) with the text of a row of that id and hash."""
     src = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    # candidates that follow the corpus are joined by the hint, at every size alike
-    found = src.join(reps.hint(hint) if hint else reps, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
+    # the candidates follow the corpus, so no size of theirs makes a broadcast safe
+    found = src.join(reps.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
     return found.dropDuplicates(["class"])
 
 
@@ -194,26 +194,35 @@ def may_link(docs: DataFrame, classes: DataFrame, rule: Rule) -> tuple[DataFrame
     sets = classes.where("`class` IS NOT NULL").groupBy("class", "n_shingles").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
     left = sets.join(alone, F.col("class") == F.col("__class"), "left")
     left = left.where(F.coalesce("alone", F.lit(0)) * rule.den <= F.col("n_shingles") * (rule.den - rule.num))
-    left = cut(left.select("class", "n_shingles", F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash")), "left")
-    # few are left; their file's size, which Catalyst checks, decides whether all texts move
-    left = cut(_with_texts(docs, left, None).select("doc_id", "text", "text_hash", "class", "n_shingles"), "may-link")
+    left = left.select("class", "n_shingles", F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash"))
+    left = cut(_with_texts(docs, left).select("doc_id", "text", "text_hash", "class", "n_shingles"), "may-link")
     return left.select("doc_id", "text"), left.select("doc_id", "text_hash", "n_shingles", "class")
 
 
+def _bands(n: Column, rule: Rule) -> Column:
+    """The size bands of a set: its own, and the next one if it is near its upper
+    edge, so that sets which may link by their sizes have a band in common."""
+    edges = F.array(*[F.lit(int(e)) for e in _EDGES])
+    own = F.size(F.filter(edges, lambda e: e <= n))  # places from 1: the edge at this place is the band's lower one
+    near = n * rule.den >= F.element_at(edges, own + 1) * rule.num
+    return F.when(near, F.array(own, own + 1)).otherwise(F.array(own))
+
+
 def rare_shared(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """class, and the least (a) and largest (most) class of a tile it is in;
     one row of ``docs`` and ``classes`` per class."""
     rows = cut(shingle_rows(docs, rule), "shingles")
     seen = rows.groupBy(F.col("shingle").alias("__s")).agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("__s")
     both = rows.join(seen, F.col("shingle") == F.col("__s")).select("shingle", F.col("class").alias("__class"))
-    sizes = classes.select("class", F.ceil(F.col("n_shingles") * rule.num / F.lit(rule.den)).alias("need"))
+    sizes = classes.select("class", "n_shingles", F.ceil(F.col("n_shingles") * rule.num / F.lit(rule.den)).alias("need"))
     of = Window.partitionBy("class")
     ranked = both.join(sizes, F.col("__class") == F.col("class")).select(
-        "shingle", "class", "need", F.count(F.lit(1)).over(of).alias("found"), F.row_number().over(of.orderBy("shingle")).alias("nth")
+        "shingle", "class", "n_shingles", "need", F.count(F.lit(1)).over(of).alias("found"), F.row_number().over(of.orderBy("shingle")).alias("nth")
     )
-    tiles = cut(ranked.where("nth <= found - need + 1").select("shingle", "class"), "tiles")
-    ends = tiles.groupBy(F.col("shingle").alias("__s")).agg(F.min("class").alias("a"), F.max("class").alias("most")).where("a < most")
-    return tiles.join(ends, F.col("shingle") == F.col("__s")).select("class", "a", "most")
+    tiles = ranked.where("nth <= found - need + 1").select("shingle", "class", F.explode(_bands(F.col("n_shingles"), rule)).alias("band"))
+    tiles = cut(tiles, "tiles")
+    ends = tiles.groupBy(F.col("shingle").alias("__s"), F.col("band").alias("__b")).agg(F.min("class").alias("a"), F.max("class").alias("most")).where("a < most")
+    return tiles.join(ends, (F.col("shingle") == F.col("__s")) & (F.col("band") == F.col("__b"))).select("class", "a", "most")
 
 
 def _need(n_a: np.ndarray, n_b: np.ndarray, rule: Rule) -> np.ndarray:
@@ -372,6 +381,8 @@ def link_classes(docs: DataFrame, classes: DataFrame, block: int, rule: Rule) ->
 
 def link_documents(docs: DataFrame, block: int = BLOCK, rule: Rule = QUERY_RULE) -> DataFrame:
     """doc_id, n_shingles, component_id, class of every row of ``docs``."""
+    if rule.num * BAND_RATIO < rule.den:
+        raise ValueError("sets that may link must not differ in size by more than a band")
     classes = cut(set_classes(docs, rule), "classes")
     labels = link_classes(docs, classes, block, rule).select(F.col("class").alias("__class"), "label")
     least = classes.where("`class` IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("low"))
