@@ -1,17 +1,21 @@
 """Toxicity by a linear-chain conditional random field (operator 10).
 
 Tokens get a label from the labelled documents: a token of a toxic document is
-toxic when one of its features (the word or one of its beginnings) is found
-much more often in toxic documents than in others.  A chain of two states
-(toxic or not) is fitted to these tokens; forward-backward marginals give every
+toxic when one of its features (the word or one of its beginnings) is evidence,
+that is, found much more often in toxic documents than in others, or found much
+more often there twice or more in a document (a stem that clean words begin
+with too shows in the number of its forms).  Evidence is counted over all
+labelled documents that are not held out; copies share one document's weight.
+A chain of two states (toxic or not) is fitted to the tokens of a sample; forward-backward marginals give every
 token of a text its probability, and what they sum to, their largest and their
 density give the document's score through a logistic curve fitted on labelled
 documents that the chain has not seen.  Tokens of probability 0.5 and more are
 returned as spans with their code point offsets.
 
-The fit uses a bounded sample of labelled rows: at most ``SAMPLE_TOXIC`` and
-``SAMPLE_OTHER`` documents of at most ``SAMPLE_CHARS`` code points, the first
-by a hash of the id, none of them held out.  Scoring covers whole texts.
+The chain and the curve use a bounded sample of these rows: at most
+``SAMPLE_TOXIC`` and ``SAMPLE_OTHER`` documents of at most ``SAMPLE_CHARS`` code
+points each and ``SAMPLE_TEXT`` together, the first by a hash of the id.
+Scoring covers whole texts.
 
 Defined results: a null text is an empty one and gets the score of a text
 without toxic tokens; with no label of one of the two kinds every score is the
@@ -29,16 +33,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, chunks, table, without
+from .common import arrow_map, chunks, cut, table, without
 from .wordhash import distinct, ngrams, span_hashes, split_words, word_hashes
 
 SAMPLE_TOXIC = 1200
 SAMPLE_OTHER = 1800
 SAMPLE_CHARS = 100_000
+SAMPLE_TEXT = 16_000_000
 LIMIT = 0.7
 #: Weights of the chain; features are hashed into them.
 BUCKETS = 1 << 18
@@ -51,6 +56,8 @@ ROUNDS = 60
 EVIDENCE_RATIO = 12.0
 EVIDENCE_G2 = 25.0
 EVIDENCE_IMPURE = 0.1
+#: Bits of the filter that tells which features may be evidence (false positives only).
+FILTER_BITS = 1 << 24
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[ord(c) for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]] = True
@@ -76,6 +83,16 @@ def held_out(doc_id: Column) -> Column:
 def features(texts: pa.Array):
     """The words of the texts, without punctuation around, and their feature
     buckets (tokens x features; bucket 0 where a word is too short for one)."""
+    b, start, end, keys = feature_keys(texts)
+    return b, start, end, buckets(keys)
+
+
+def buckets(keys: np.ndarray) -> np.ndarray:
+    return np.where(keys > 0, keys % np.uint64(BUCKETS - 1) + np.uint64(1), np.uint64(0)).astype(np.int32)
+
+
+def feature_keys(texts: pa.Array):
+    """The words of the texts and the 64-bit hashes of their features (0: none)."""
     b = split_words(texts, lower=True)
     start, end = b.start.copy(), b.end.copy()
     for _ in range(6):
@@ -86,10 +103,10 @@ def features(texts: pa.Array):
     lead = np.concatenate([lead, np.full(max(PREFIXES) + 1, len(b.data))])
     ends = [end, *[np.minimum(lead[nth + n], end) for n in PREFIXES]]
     hashes = span_hashes(b.data, start, ends)
-    out = np.zeros((len(start), len(ends)), np.int32)
+    out = np.zeros((len(start), len(ends)), np.uint64)
     for j, h in enumerate(hashes):
-        bucket = ((h + np.uint64(j * 0x9E3779B1)) % np.uint64(BUCKETS - 1)).astype(np.int32) + 1
-        out[:, j] = bucket if j == 0 else np.where(ends[j] < end, bucket, 0)
+        key = h + np.uint64(j * 0x9E3779B1)
+        out[:, j] = key if j == 0 else np.where(ends[j] < end, key, np.uint64(0))
     return b, start, end, out
 
 
@@ -155,24 +172,106 @@ def copy_groups(texts: pa.Array) -> np.ndarray:
     return np.array([root(i) for i in range(b.n_docs)], np.int64)
 
 
-def _evidence(doc: np.ndarray, feats: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Buckets found much more often in toxic than in other documents; ``doc``
-    names the document (one for all its copies) of each token and ``toxic``
-    tells the token's own document's label: the toxic and the other texts of a
-    group of copies count once each."""
-    in_toxic, in_other = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    unit = doc * 2 + toxic
-    order = np.argsort(unit, kind="stable")
-    for rows in np.split(order, np.flatnonzero(np.diff(unit[order])) + 1):
-        (in_toxic if toxic[rows[0]] else in_other)[np.unique(feats[rows])] += 1
-    n_toxic, n_other = len(np.unique(doc[toxic])), len(np.unique(doc[~toxic]))
-    rate = (in_toxic / max(n_toxic, 1)) / ((in_other + 0.5) / max(n_other, 1))
-    both, share = np.maximum(in_toxic + in_other, 1), n_toxic / max(n_toxic + n_other, 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        g2 = 2 * (np.nan_to_num(in_toxic * np.log(in_toxic / (both * share))) + np.nan_to_num(in_other * np.log(in_other / (both * (1 - share)))))
-    found = (rate >= EVIDENCE_RATIO) & (g2 >= EVIDENCE_G2) & (in_other <= EVIDENCE_IMPURE * in_toxic)
-    found[0] = False
-    return found
+def copy_weights(training: DataFrame) -> DataFrame:
+    """__id, weight: one over the number of documents with the same label that
+    share most of a document's smallest shingle hashes with it, so that all copies
+    of a text, near ones too, weigh about as much as one document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            b = split_words(batch.column(2), lower=True)
+            doc, h = distinct(*ngrams(b, word_hashes(b), 5, short=True))
+            first = np.searchsorted(doc, np.arange(b.n_docs + 1))
+            at = np.concatenate([np.arange(x, max(x + 1, min(y, x + 6) - 1)) for x, y in zip(first, first[1:], strict=False) if y > x] or [np.zeros(0, int)])
+            pair = h[at] ^ (np.where(np.append(doc[1:], -1)[at] == doc[at], np.append(h[1:], h[:1])[at], h[at]) * np.uint64(0x9E3779B97F4A7C15))
+            owner = pa.array(doc[at])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(owner), batch.column(1).take(owner), pa.array(pair.view(np.int64))], ["__id", "toxic", "pair"])
+
+    kind = training.schema["__id"].dataType.simpleString()
+    pairs = cut(arrow_map(training.select("__id", "toxic", "text"), run, f"__id {kind}, toxic int, pair long"), "pairs")
+    shared = pairs.groupBy(F.col("toxic").alias("__t"), F.col("pair").alias("__p")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = pairs.join(shared, (F.col("toxic") == F.col("__t")) & (F.col("pair") == F.col("__p")))
+    return met.groupBy("__id").agg((1 / F.max("n")).alias("weight"))
+
+
+def _counts(rows: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
+    """key, once, twice: the weight of the documents that hold a feature, and of
+    those that hold it twice or more; ``bits`` tells the features that matter."""
+    shared = None if bits is None else rows.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = None if shared is None else np.unpackbits(shared.value, bitorder="little").astype(bool)
+        for batch in chunks(batches):
+            b, _, _, keys = feature_keys(batch.column(0))
+            doc, key = np.repeat(b.doc, keys.shape[1]), keys.ravel()
+            use = key > 0
+            if wanted is not None:
+                use &= wanted[key & np.uint64(FILTER_BITS - 1)]
+            doc, key = doc[use], key[use]
+            if not len(key):
+                continue
+            order = np.lexsort((key, doc))
+            doc, key = doc[order], key[order]
+            begin = np.concatenate([[0], np.flatnonzero((doc[1:] != doc[:-1]) | (key[1:] != key[:-1])) + 1])
+            often = np.diff(np.concatenate([begin, [len(key)]])) > 1
+            weight = batch.column(1).to_numpy()[doc[begin]]
+            found, which = np.unique(key[begin], return_inverse=True)
+            sums = [np.bincount(which, w, len(found)) for w in (weight, weight * often)]
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), *[pa.array(x) for x in sums]], ["key", "once", "twice"])
+
+    parts = arrow_map(rows.select("text", "weight"), run, "key long, once double, twice double")
+    return parts.groupBy("key").agg(F.sum("once").alias("once"), F.sum("twice").alias("twice"))
+
+
+def _slots(keys: DataFrame) -> np.ndarray:
+    """A bit per slot of the filter: whether one of the keys falls into it."""
+    slot, block = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1)), 1 << 15
+    rows = keys.groupBy((F.shiftright(slot, 15)).alias("at")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit(block - 1))).alias("bits"))
+    out = np.zeros(FILTER_BITS, bool)
+    for r in rows.collect():  # FILTER_BITS bits in all
+        out[r["at"] * block : (r["at"] + 1) * block] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+    return out
+
+
+def evidence(training: DataFrame) -> DataFrame:
+    """key: the features that are evidence, from all rows of ``training`` (__id, toxic, text)."""
+    weighed = training.join(copy_weights(training).withColumnRenamed("__id", "__w"), F.col("__id") == F.col("__w"), "left")
+    weighed = cut(weighed.select("toxic", "text", F.coalesce("weight", F.lit(1.0)).alias("weight")), "weighed")
+    total = {r["toxic"]: r["n"] for r in weighed.groupBy("toxic").agg(F.sum("weight").alias("n")).collect()}  # two numbers
+    n_toxic, n_other = total.get(1, 0.0), total.get(0, 0.0)
+    if not n_toxic or not n_other:
+        return training.sparkSession.createDataFrame([], "key long")
+    share = n_toxic / (n_toxic + n_other)
+    # a feature of fewer toxic documents cannot reach the statistic, whatever the others hold
+    least = EVIDENCE_G2 / 2 / -np.log(share) - 1e-6
+    in_toxic = cut(_counts(weighed.where("toxic = 1")).where(F.col("once") >= least), "toxic")
+    in_other = _counts(weighed.where("toxic = 0"), _slots(in_toxic))
+    other = in_other.select(F.col("key").alias("__key"), F.col("once").alias("o_once"), F.col("twice").alias("o_twice"))
+    both = in_toxic.join(other, F.col("key") == F.col("__key"), "left").fillna(0.0, ["o_once", "o_twice"])
+
+    def sign(a: Column, b: Column) -> Column:
+        def part(x: Column, p: float) -> Column:
+            return F.when(x > 0, x * F.log(x / ((a + b) * p))).otherwise(0.0)
+
+        rate = (a / n_toxic) / ((b + 0.5) / n_other)
+        return (rate >= EVIDENCE_RATIO) & (2 * (part(a, share) + part(b, 1 - share)) >= EVIDENCE_G2) & (b <= a * EVIDENCE_IMPURE)
+
+    return both.where(sign(F.col("once"), F.col("o_once")) | sign(F.col("twice"), F.col("o_twice"))).select("key")
+
+
+def with_signs(sample: DataFrame, found: DataFrame) -> DataFrame:
+    """``sample`` with ``signs``: the features of a toxic document that are evidence."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            b, _, _, keys = feature_keys(batch.column(1))
+            doc, key = distinct(np.repeat(b.doc, keys.shape[1]), keys.ravel())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), pa.array(key.view(np.int64))], ["__of", "__key"])
+
+    kind = sample.schema["__id"].dataType.simpleString()
+    held = arrow_map(sample.where("toxic = 1").select("__id", "text"), run, f"__of {kind}, __key long")
+    signs = held.join(found, F.col("__key") == F.col("key")).groupBy("__of").agg(F.collect_list("key").alias("signs"))
+    return sample.join(signs, F.col("__id") == F.col("__of"), "left").drop("__of")
 
 
 def _fit_chain(feats: np.ndarray, label: np.ndarray, grid: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
@@ -233,10 +332,11 @@ def _fit_curve(x: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarr
     return c
 
 
-def fit_sample(texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> Model:
-    """Fit on a sample of labelled texts, in hash order; a third of them, copies
-    together, is kept for the curve."""
-    b, _, _, feats = features(pa.array(texts, pa.string()))
+def fit_sample(texts: list[str], toxic: np.ndarray, weight: np.ndarray, signs: list[list[int] | None]) -> Model:
+    """Fit on a sample of labelled texts, in hash order, with the features of the
+    toxic ones that are evidence; a third of them, copies together, is kept for the curve."""
+    b, _, _, keys = feature_keys(pa.array(texts, pa.string()))
+    feats = buckets(keys)
     group = copy_groups(pa.array(texts, pa.string()))
     for_curve = group % 3 == 2
     for kind in (toxic, ~toxic):  # with very few of a kind, all serve both
@@ -246,8 +346,8 @@ def fit_sample(texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> Model
     chain_doc = np.ones(len(texts), bool) if for_curve is None else ~for_curve
     curve_doc = chain_doc if for_curve is None else for_curve
     token = chain_doc[b.doc]
-    found = _evidence(group[b.doc[token]], feats[token], toxic[b.doc[token]])
-    label = (found[feats].any(axis=1) & toxic[b.doc]).astype(float)
+    known = np.unique(np.asarray([k for s in signs for k in s or ()], np.int64)).view(np.uint64)
+    label = (np.isin(keys, known).any(axis=1) & toxic[b.doc]).astype(float)
     grid = _windows(b.doc, b.first)
     in_chain = chain_doc[b.doc[grid[:, 0]]]
     index = np.full(len(b.doc), -1)
@@ -261,20 +361,27 @@ def fit_sample(texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> Model
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on the bounded sample of ``docs`` with ``labels`` (doc_id, toxic)."""
+    """Evidence from all of ``docs`` with ``labels`` (doc_id, toxic) that are not
+    held out, chain and curve from their bounded sample."""
     per = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    per = per.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("__toxic"))
-    counts = {r["__toxic"]: r["n"] for r in per.groupBy("__toxic").agg(F.count(F.lit(1)).alias("n")).where("__toxic IN (0, 1)").collect()}
+    per = per.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1)")
+    counts = {r["toxic"]: r["n"] for r in per.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_other = counts.get(1, 0), counts.get(0, 0)
     if not n_toxic or not n_other:
         return constant_model(float(bool(n_toxic)))
-    order = F.xxhash64("__id")
-    ids = per.where("__toxic = 1").orderBy(order, "__id").limit(SAMPLE_TOXIC).unionByName(per.where("__toxic = 0").orderBy(order, "__id").limit(SAMPLE_OTHER))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # labelled rows only are moved: of the others a large join drops most by a filter on the ids
+    training = cut(docs.select("doc_id", text.alias("text")).join(per, F.col("doc_id") == F.col("__id")).select("__id", "toxic", "text"), "training")
+    order = F.xxhash64("__id")
+    ids = per.where("toxic = 1").orderBy(order, "__id").limit(SAMPLE_TOXIC).unionByName(per.where("toxic = 0").orderBy(order, "__id").limit(SAMPLE_OTHER))
     # the ids are at most SAMPLE_TOXIC + SAMPLE_OTHER rows
-    rows = docs.select("doc_id", text.alias("text")).where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))
-    weight = F.when(F.col("__toxic") == 1, F.lit(n_toxic / min(n_toxic, SAMPLE_TOXIC))).otherwise(F.lit(n_other / min(n_other, SAMPLE_OTHER)))
-    rows = rows.dropDuplicates(["doc_id"]).orderBy(order, "doc_id").limit(SAMPLE_TOXIC + SAMPLE_OTHER).select("text", "__toxic", weight.alias("weight"))
+    rows = training.where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(ids.select(F.col("__id").alias("__s"))), F.col("__id") == F.col("__s")).drop("__s")
+    rows = cut(rows.dropDuplicates(["__id"]), "sample")
+    # one window over the bounded sample's lengths
+    ahead = F.sum(F.length("text").cast("long")).over(Window.orderBy(order, "__id"))
+    weight = F.when(F.col("toxic") == 1, F.lit(n_toxic / min(n_toxic, SAMPLE_TOXIC))).otherwise(F.lit(n_other / min(n_other, SAMPLE_OTHER)))
+    rows = with_signs(rows.withColumn("ahead", ahead).where(F.col("ahead") <= SAMPLE_TEXT), evidence(training))
+    rows = rows.orderBy(order, "__id").limit(SAMPLE_TOXIC + SAMPLE_OTHER).select("text", "toxic", weight.alias("weight"), "signs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sample = list(batches)  # the whole bounded sample
@@ -286,7 +393,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             model = constant_model(float(toxic.any()))
         else:
             weight = t.column(2).to_numpy()
-            model = fit_sample(t.column(0).to_pylist(), toxic, weight * len(weight) / weight.sum())
+            model = fit_sample(t.column(0).to_pylist(), toxic, weight * len(weight) / weight.sum(), t.column(3).to_pylist())
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     fitted = arrow_map(rows, run, "model binary").collect()  # one model of BUCKETS weights

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -411,16 +412,75 @@ def test_near_copy_stage_against_brute_force(spark):
     assert [r["doc_id"] for r in _rows(corpus_pipeline.drop_near_copies(spark, pair, ""))] == [1]  # 18% appended
 
 
-def test_toxic_variants_of_a_clean_text_are_evidence():
-    # 30 groups of a clean text (the root), feature 1 + group, and two toxic variants of it with feature 1000; 60 clean texts apart
-    group = np.concatenate([np.repeat(np.arange(30) * 3, 3), np.arange(90, 150)])
-    toxic = np.array([False, True, True] * 30 + [False] * 60)
-    feats = np.stack([group + 1, np.where(toxic, 1000, 0)], axis=1).astype(np.int32)
-    assert np.flatnonzero(toxicity._evidence(group, feats, toxic)).tolist() == [1000]
-    # a toxic root does not make the words of its clean variants toxic evidence
-    toxic = np.array([True, False, False] * 30 + [False] * 60)
-    feats = np.stack([group + 1, np.where(toxic, 1000, np.where(group < 90, 2000, 0))], axis=1).astype(np.int32)
-    assert np.flatnonzero(toxicity._evidence(group, feats, toxic)).tolist() == [1000]
+def _keys_of(word):
+    keys = toxicity.feature_keys(pa.array([word]))[3].ravel()
+    return {int(k) for k in keys.view(np.int64) if k}
+
+
+def test_toxic_variants_of_a_clean_text_are_evidence(spark):
+    # 30 groups of a clean text and two toxic variants of it, 60 clean texts apart
+    words = iter(f"{chr(97 + i % 26)}{i}q" for i in range(10_000))
+    rows, n = [], 0
+    for k in range(90):
+        base = " ".join(next(words) for _ in range(40))
+        for bad in (["", " vilexo", " vilexo"] if k < 30 else [""]):
+            rows.append((n, int(bool(bad)), base + bad))
+            n += 1
+    training = spark.createDataFrame(rows, "__id long, toxic int, text string").repartition(3)
+    assert {r["key"] for r in _rows(toxicity.evidence(training))} == _keys_of("vilexo")
+    # and the words of clean variants of a toxic text are none
+    flipped = [(i, 1 if k % 3 == 0 and i < 90 else 0, t.replace(" vilexo", " mildo") + (" vilexo" if k % 3 == 0 and i < 90 else "")) for k, (i, _, t) in enumerate(rows)]
+    training = spark.createDataFrame(flipped, "__id long, toxic int, text string")
+    assert {r["key"] for r in _rows(toxicity.evidence(training))} == _keys_of("vilexo")
+    assert toxicity.evidence(training.limit(0)).count() == 0
+
+
+def test_evidence_equals_a_count_in_python(spark):
+    """Stems with many forms, seen once in clean texts and often in toxic ones; copies weigh once."""
+    rnd, rows = random.Random(8), []
+    for i in range(400):
+        w = [rnd.choice("bcdfg") + rnd.choice("aeiou") + str(rnd.randrange(300)) for _ in range(30)]
+        if i % 8 == 0:
+            w += ["gromenta" + rnd.choice("abcdefgh") * 3 for _ in range(4)]
+        elif i % 30 == 1:
+            w += ["gromentaxyz"]
+        rows.append((i, int(i % 8 == 0), " ".join(w)))
+    rows += [(1000 + i, 1, rows[8][2]) for i in range(50)] + [(2000, 0, ""), (2001, 1, " \n")]
+    training = spark.createDataFrame(rows, "__id long, toxic int, text string").repartition(4)
+    once, twice, total = ([Counter(), Counter()] for _ in range(3))
+    for i, y, text in rows:
+        weight = 1 / 51 if i == 8 or 1000 <= i < 2000 else 1.0
+        total[y]["n"] += weight
+        for key, c in Counter(int(k) for w in text.split() for k in toxicity.feature_keys(pa.array([w]))[3].ravel().view(np.int64) if k).items():
+            once[y][key] += weight
+            twice[y][key] += weight * (c > 1)
+    n1, n0 = total[1]["n"], total[0]["n"]
+
+    def sign(a, b):
+        if a <= 1e-9:
+            return False
+        g2 = 2 * (a * np.log(a / ((a + b) * n1 / (n1 + n0))) + (b * np.log(b / ((a + b) * n0 / (n1 + n0))) if b else 0))
+        return (a / n1) / ((b + 0.5) / n0) >= toxicity.EVIDENCE_RATIO and g2 >= toxicity.EVIDENCE_G2 and b <= toxicity.EVIDENCE_IMPURE * a
+
+    want = {k for k in once[1] if sign(once[1][k], once[0][k]) or sign(twice[1][k], twice[0][k])}
+    assert any(not sign(once[1][k], once[0][k]) for k in want)  # the stem, by its repeated forms alone
+    assert {r["key"] for r in _rows(toxicity.evidence(training))} == want
+
+
+def test_marginals_equal_enumeration():
+    """Forward-backward marginals against the sum over all labellings."""
+    from itertools import product
+
+    rnd = np.random.default_rng(3)
+    scores, trans = rnd.normal(size=9), rnd.normal(size=(2, 2))
+    grid = np.array([[0, 1, 2, 3, 4, 5], [6, 7, 8, -1, -1, -1]])
+    got = toxicity.marginals(scores, grid, trans)
+    for chain in ([0, 1, 2, 3, 4, 5], [6, 7, 8]):
+        mass, on = 0.0, np.zeros(len(chain))
+        for y in product((0, 1), repeat=len(chain)):
+            p = np.exp(sum(scores[t] for t, v in zip(chain, y, strict=True) if v) + sum(trans[a, b] for a, b in zip(y, y[1:], strict=False)))
+            mass, on = mass + p, on + p * np.array(y)
+        assert np.allclose(got[chain], on / mass)
 
 
 def test_toxicity_learns_words_and_their_forms(spark):
