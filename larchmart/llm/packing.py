@@ -37,51 +37,72 @@ from ..operators.ranking import global_rank
 
 CAPACITY = 2048
 CLOSING_ID = 0
-# Fixed value: the word pattern of byte-level BPE vocabularies of this family.
+# Fixed value: the word pattern of byte-level pre-tokenizers that use their own pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Texts that a worker encodes with both libraries before it trusts the faster one.
-COMPARED_TEXTS = 20
+
+
+def byte_ranks(spec: dict, tokenize) -> dict[bytes, int] | None:
+    """The rank of every token of a ``tokenizers`` file, if the file says nothing
+    else than words by PATTERN and byte pairs by rank; None otherwise.
+
+    That is: no normalizer, the byte-level pattern without a blank in front, a
+    plain BPE model, ids of merged tokens that ascend with their merges, a token
+    per byte, and no token that the merges do not reach (``tokenize`` gives the
+    ids of a spelled word).  Then joining the neighbours whose bytes have the
+    least rank is what the merges do."""
+    words, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = words.get("type") == "ByteLevel" and words.get("add_prefix_space") is False and words.get("use_regex") is True
+    plain &= model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    if not plain or any(spec.get(k) for k in ("normalizer", "truncation", "padding")):
+        return None
+    # printable stand-ins for bytes: the printable ones stand for themselves, the others follow from 256 on
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spelled = {chr(b): b for b in kept} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(kept))}
+    added = {t["content"] for t in spec.get("added_tokens", [])}
+    vocab = {t: i for t, i in model["vocab"].items() if t not in added}
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    made = [vocab.get(t, -1) for t in merged]
+    singles = [vocab[c] for c in spelled if c in vocab]
+    if len(singles) < 256 or sorted(singles + made) != sorted(vocab.values()) or any(x >= y for x, y in zip([max(singles), *made], made, strict=False)):
+        return None
+    if any(set(t) - spelled.keys() or tokenize(t) != [i] for t, i in vocab.items()):
+        return None
+    return {bytes(spelled[c] for c in t): i for t, i in vocab.items()}
 
 
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes, from a ``tokenizers`` file.
 
-    The file defines the ids.  ``tiktoken`` gives the same ids from the same
-    vocabulary several times faster; each worker compares the two on its first
-    texts and keeps to ``tokenizers`` if they ever differ, and for texts that
-    hold the spelling of a special token."""
+    The file defines the ids.  ``tiktoken`` gives the same ids several times
+    faster from the ranks of a file that ``byte_ranks`` accepts; with any other
+    file, and for texts that hold the spelling of an added token, all ids come
+    from ``tokenizers``.  The choice depends on the file alone."""
 
     def __init__(self, path: str):
-        import tiktoken
         from tokenizers import Tokenizer
 
         self.exact = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        # printable stand-ins for bytes: the printable ones stand for themselves, the others follow from 256 on
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        spelled = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
-        ranks = {bytes(spelled[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
-        self.fast = tiktoken.Encoding("same", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.compared = 0
+        ranks = byte_ranks(spec, lambda word: [t.id for t in self.exact.model.tokenize(word)])
+        self.fast = None
+        if ranks is not None:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("same", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
         if self.fast is None or any(s in text for s in self.special):
             return self._exact(text)
-        ids = array("I", self.fast.encode_ordinary(text)).tobytes()
-        if self.compared < COMPARED_TEXTS:
-            self.compared += 1
-            exact = self._exact(text)
-            if exact != ids:
-                self.fast = None
-            return exact
-        return ids
+        return array("I", self.fast.encode_ordinary(text)).tobytes()
 
     def _exact(self, text: str) -> bytes:
         return np.asarray(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+#: A worker reads a file once.
+_ENCODERS: dict[str, Encoder] = {}
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -101,7 +122,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str | None = None, capacit
             import public_tokenizers
 
             path = public_tokenizers.path("byte_bpe_50k.json")
-        encode = Encoder(path)
+        encode = _ENCODERS.get(path) or _ENCODERS.setdefault(path, Encoder(path))
         closing = np.asarray([CLOSING_ID], "<u4").tobytes()
         for batch in chunks(batches):
             rows = []

@@ -306,6 +306,34 @@ def test_quality_rejects_a_third_of_junk(spark, alike):
     assert not any(kept for i, kept in got.items() if i >= 1000) and sum(not kept for i, kept in got.items() if i < 1000) <= 1
 
 
+def test_fast_ids_only_of_files_that_prove_them(tmp_path):
+    import json
+
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode = packing.Encoder(path)
+    assert encode.fast is not None
+    rnd, pool = random.Random(1), " \t\n  \u3000\u00a0\u0085\u200b'sdtlvemr.é1٣ñ中😀\u0301a\0Ÿ×"
+    for n in range(3000):
+        text = "".join(rnd.choice(pool) for _ in range(rnd.randint(0, 25)))
+        assert encode(text) == encode._exact(text)
+    spec = json.load(open(path, encoding="utf-8"))
+    first, second = spec["model"]["merges"][:2]
+    changes = [
+        {"normalizer": {"type": "NFC"}},
+        {"pre_tokenizer": {**spec["pre_tokenizer"], "add_prefix_space": True}},
+        {"pre_tokenizer": {**spec["pre_tokenizer"], "use_regex": False}},
+        {"model": {**spec["model"], "merges": [second, first, *spec["model"]["merges"][2:]]}},
+        {"model": {**spec["model"], "merges": spec["model"]["merges"][:-1]}},
+    ]
+    for k, change in enumerate(changes):
+        other = tmp_path / f"{k}.json"
+        other.write_text(json.dumps({**spec, **change}), encoding="utf-8")
+        encode = packing.Encoder(str(other))
+        assert encode.fast is None and encode("ab  c\u0301") == encode._exact("ab  c\u0301")
+
+
 def test_packing_round_trip(spark, docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
