@@ -11,6 +11,10 @@ mostly clustered too.  Elements that are page furniture by their tag, role or cl
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts,
 styles) have ratio 0 and never count.  All other blocks of the region are kept.
 
+Sums per element are taken once, from the last element to the first, and a tag
+or comment that the page never closes ends with the page, so that broken and very
+deep pages cost what others cost.
+
 Defined results: a null or empty html has the empty text; unclosed or stray
 tags never fail; ties between containers go to the inner one; repeated rows
 are rows of their own; an empty table gives an empty result; other columns
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -56,10 +61,13 @@ _WORDS = re.compile(r"[^A-Za-z0-9]+")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "bad", "article")
+    __slots__ = ("tag", "parent", "bad", "article", "depth", "whole", "held", "kept")
 
     def __init__(self, tag: str, parent: _Element | None, bad: bool, article: bool):
         self.tag, self.parent, self.bad, self.article = tag, parent, bad, article
+        self.depth = parent.depth + 1 if parent else 0
+        self.whole = self.held = 0  # code points of its blocks, and of the clustered ones
+        self.kept = False
 
 
 def _furniture(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
@@ -87,6 +95,8 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = _Element("html", None, False, False)
+        self.elements = [self.root]  # parents before children
+        self.open = Counter()  # tags from the root to `at`
         self.lines: list[tuple[_Element, str, int]] = []
         self.parts: list[str] = []
         self.tags = 0
@@ -99,15 +109,49 @@ class Lines(HTMLParser):
                 self.tags = 0
             self.parts = []
 
+    def _climb(self, to: _Element) -> None:
+        while self.at is not to:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
+
     def _close(self, tags: set[str]) -> None:
         """Close the nearest open element among ``tags`` within its container."""
+        if not any(self.open[t] for t in tags):
+            return
         e = self.at
         while e is not self.root and e.tag not in tags:
             if e.tag in CONTAINERS or (e.tag in ("ul", "ol", "dl", "table") and "p" not in tags):
                 return
             e = e.parent
         if e is not self.root:
-            self.at = e.parent
+            self._climb(e.parent)
+
+    def _unclosed(self, i: int, *ends: str) -> bool:
+        """Whether none of ``ends`` follows position ``i`` of the page."""
+        text = self.rawdata
+        if self.last_in is not text:
+            self.last_in, self.last = text, {}
+        for end in ends:
+            if end not in self.last:
+                self.last[end] = text.rfind(end)
+        return all(self.last[end] < i for end in ends)
+
+    last_in: str | None = None
+
+    def parse_starttag(self, i):
+        return len(self.rawdata) if self._unclosed(i, ">") else super().parse_starttag(i)
+
+    def parse_endtag(self, i):
+        return len(self.rawdata) if self._unclosed(i, ">") else super().parse_endtag(i)
+
+    def parse_pi(self, i):
+        return len(self.rawdata) if self._unclosed(i, ">") else super().parse_pi(i)
+
+    def parse_html_declaration(self, i):
+        return len(self.rawdata) if self._unclosed(i, ">") else super().parse_html_declaration(i)
+
+    def parse_comment(self, i, report=1):
+        return len(self.rawdata) if self._unclosed(i + 2, "-->", "--!>") else super().parse_comment(i, report)
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -120,6 +164,8 @@ class Lines(HTMLParser):
             return
         article = self.at.article or tag in ("article", "main")
         self.at = _Element(tag, self.at, self.at.bad or _furniture(tag, attrs, self.at.article), article)
+        self.elements.append(self.at)
+        self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -128,6 +174,8 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
+        if not self.open[tag]:
+            return
         e = self.at
         while e is not self.root and e.tag != tag:
             if e.tag in CONTAINERS and tag not in CONTAINERS and tag not in FURNITURE and tag != "header":
@@ -137,7 +185,7 @@ class Lines(HTMLParser):
             return
         if tag in BLOCKS or any(x in BLOCKS for x in self._between(e)):
             self.flush()
-        self.at = e.parent
+        self._climb(e.parent)
 
     def _between(self, top: _Element) -> list[str]:
         tags, e = [], self.at
@@ -153,37 +201,26 @@ class Lines(HTMLParser):
             self.tags += 1  # furniture's words count as markup
 
 
-def _region(lines: list[tuple[_Element, str, int]]) -> _Element | None:
+def _region(lines: list[tuple[_Element, str, int]], elements: list[_Element]) -> _Element | None:
     """The element whose blocks are the content."""
     ratio = np.array([len(t) / max(1, n) for _, t, n in lines])
     reach = math.ceil(2 * SIGMA)
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / SIGMA) ** 2)
     smooth = np.convolve(ratio, kernel / kernel.sum(), "full")[reach : reach + len(ratio)]
     chosen = smooth >= min(smooth.mean(), smooth.std() or smooth.mean())
-    held: dict[int, int] = {}
-    element: dict[int, tuple[int, _Element]] = {}
     total = 0
-    whole: dict[int, int] = {}
     for (e, text, _), yes in zip(lines, chosen, strict=True):
-        x = e
-        while x is not None:
-            whole[id(x)] = whole.get(id(x), 0) + len(text)
-            x = x.parent
-        if not yes:
-            continue
-        total += len(text)
-        path = []
-        while e is not None:
-            path.append(e)
-            e = e.parent
-        for depth, x in enumerate(reversed(path)):
-            if x.tag in CONTAINERS:
-                held[id(x)] = held.get(id(x), 0) + len(text)
-                element[id(x)] = (depth, x)
+        e.whole += len(text)
+        if yes:
+            e.held += len(text)
+            total += len(text)
     if not total:
         return None
-    best = max((element[k] for k, n in held.items() if n > MOST * total), key=lambda d: d[0], default=None)
-    top = best[1] if best else None
+    for e in reversed(elements[1:]):
+        e.parent.whole += e.whole
+        e.parent.held += e.held
+    # the containers with more than half lie within each other
+    top = max((e for e in elements if e.tag in CONTAINERS and e.held > MOST * total), key=lambda e: e.depth, default=None)
     e, marked = top, False
     while e is not None:  # widen to the outermost article or main part it stands in
         if e.tag in ("article", "main"):
@@ -193,7 +230,7 @@ def _region(lines: list[tuple[_Element, str, int]]) -> _Element | None:
         return top
     e = top.parent
     while e is not None:  # without one, to what adds mostly clustered text
-        if e.tag in CONTAINERS and held[id(e)] - held[id(top)] >= MOST * (whole[id(e)] - whole[id(top)]):
+        if e.tag in CONTAINERS and e.held - top.held >= MOST * (e.whole - top.whole):
             top = e
         e = e.parent
     return top
@@ -204,17 +241,12 @@ def main_text(html: str) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = parser.lines
-    if not lines:
+    if not parser.lines:
         return ""
-    region = _region(lines) or parser.root
-    kept = []
-    for e, text, _ in lines:
-        while e is not None and e is not region:
-            e = e.parent
-        if e is region:
-            kept.append(text)
-    return "\n".join(kept)
+    region = _region(parser.lines, parser.elements) or parser.root
+    for e in parser.elements:
+        e.kept = e is region or (e.parent is not None and e.parent.kept)
+    return "\n".join(text for e, text, _ in parser.lines if e.kept)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:

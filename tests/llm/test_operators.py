@@ -245,6 +245,27 @@ def _shingles(text, n, lower=False):
     return set(zip(*[w[i:] for i in range(n)], strict=False)) if len(w) >= n else {tuple(w)} if w else set()
 
 
+@pytest.mark.parametrize(
+    "broken", ["<a " * 350_000, "<!--" * 250_000, "</a " * 250_000, "<?x" * 300_000, "<div>" * 200_000 + "</div>" * 200_000, "<b>" * 150_000 + "</i>" * 150_000, "<p>" + "<b>" * 150_000]
+)
+def test_extraction_is_linear_on_broken_and_deep_pages(broken):
+    import time
+
+    article = "<article><p>" + "Some words here. " * 40 + "</p></article>"
+    begin = time.time()
+    assert extraction.main_text(article + broken) == " ".join(["Some words here."] * 40)
+    assert time.time() - begin < 30
+
+
+def test_extraction_of_repeated_odd_and_no_rows(spark):
+    html = "<article><p>a&amp;b</p><p>c <!-- x --> d<!-- never closed"
+    rows = [(1, "u", html, "t"), (1, "u", html, "t"), (2, None, None, "t"), (None, "v", "", "t")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in _rows(extraction.extract_main_text(pages)))
+    assert got == [("1", "a&b\nc d", 7), ("1", "a&b\nc d", 7), ("2", "", 0), ("None", "", 0)]
+    assert extraction.extract_main_text(pages.limit(0)).count() == 0
+
+
 def test_fingerprints_against_exact_sets(docs, empty):
     got = _rows(fingerprints.fingerprint_documents(docs))
     assert len(got) == docs.count() and fingerprints.fingerprint_documents(empty).count() == 0
