@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocations, topk, trie
+from . import collocations, ngram_join, topk, trie, warc
 from .collocations import op12_collocations
 from .extraction import op5_extraction
 from .fingerprints import op6_fingerprints
@@ -28,4 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op11_topk, op12_collocations, op13_trie,
     )
 }
-ORACLE: dict[str, str] = {"op11_topk": topk.ORACLE_SQL, "op12_collocations": collocations.ORACLE_SQL, "op13_trie": trie.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op2_warc": warc.ORACLE_SQL, "op9_ngram_join": ngram_join.ORACLE_SQL,
+    "op11_topk": topk.ORACLE_SQL, "op12_collocations": collocations.ORACLE_SQL, "op13_trie": trie.ORACLE_SQL,
+}

@@ -269,3 +269,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     revisits = read.where("record_type = 'revisit'").join(stored, F.col("payload_digest") == F.col("__digest"), "left").withColumn("bytes", F.col("__bytes"))
     out = ["page_id", F.col("bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"]
     return read.where("record_type = 'response'").select(*out).unionByName(revisits.select(*out))
+
+
+ORACLE_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
