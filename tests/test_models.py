@@ -191,3 +191,49 @@ def test_hot_product_is_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_fact_over_keyed_orders_is_the_fact(spark, raw):
+    """The version found per header gives the rows that the version found per line gives:
+    overlapping versions, repeated headers, no date, no customer, orphans."""
+    customers = spark.sql(
+        """select * from values
+        ('k1', 'C1', timestamp_ntz'1900-01-01', timestamp_ntz'2024-06-01'), ('k2', 'C1', timestamp_ntz'2024-03-01', null),
+        ('k3', 'C2', timestamp_ntz'1900-01-01', null) as t(customer_key, customer_id, valid_from, valid_to)""")
+    hdr = parse_entity(raw([
+        {"order_id": "O1", "customer_id": "C1", "order_date": "2024-04-01 00:00:00"},
+        {"order_id": "O2", "customer_id": "C2", "order_date": "2024-04-01 00:00:00"},
+        {"order_id": "O2", "customer_id": "C9", "order_date": "2024-04-01 00:00:00"},
+        {"order_id": "O3", "customer_id": "C2"}, {"order_id": "O4", "order_date": "2024-04-01 00:00:00"}, {"customer_id": "C1"}]), "orders")
+    items = parse_entity(raw([
+        {"order_item_id": f"I{i}", "order_id": o, "product_id": p, "quantity": 2, "unit_price": 10, "discount_amount": 1}
+        for i, (o, p) in enumerate([("O1", "P1"), ("O1", "P2"), ("O2", "P1"), ("O3", "P1"), ("O4", "P2"), ("O9", "P1"), ("O1", "P9"), (None, None)])]), "order_items")
+    prod = parse_entity(raw([{"product_id": "P1", "sku": "S", "unit_cost": 4}, {"product_id": "P2", "sku": "T", "unit_cost": 4}]), "products")
+    catalog = M.keyed_products(prod, M.dim_products(prod, CFG).where("product_id <> 'P2'"))
+    for orphans in (False, True):
+        by_line = M.fct_orders(M.int_order_margins(items, hdr, catalog, orphans), customers, CFG)
+        margins = M.int_order_margins(items, M.keyed_orders(hdr, customers), catalog, orphans)
+        by_header = M.fct_orders(margins, customers, CFG)
+        assert by_header.columns == by_line.columns
+        got = sorted(map(str, by_header.collect()))
+        assert got == sorted(map(str, by_line.collect())) and len(got) == (12 if orphans else 8)
+        assert {r.product_key for r in by_header.where("order_id = 'O4'").collect()} == {"-1"}
+
+
+def test_only_tables_asked_for_are_written(spark, raw, tmp_path):
+    """Staging parses the documents without a raw table between, and a check that reads
+    the order fact once does not write it."""
+    from larchmart.operators import quality as Q
+    from larchmart.plans.warehouse import Warehouse
+
+    docs = {
+        "customers": [cust("C1", "2024-01-01 00:00:00")],
+        "products": [{"product_id": "P1", "sku": "S", "unit_cost": 4, "retail_price": 10}],
+        "sessions": [{"session_id": "S1", "customer_id": "C1", "session_start": "2024-02-01 00:00:00"}],
+        "orders": [{"order_id": "O1", "customer_id": "C1", "order_date": "2024-02-01 00:00:00"}],
+        "order_items": [{"order_item_id": f"I{n}", "order_id": "O1", "product_id": "P1", "quantity": 1, "unit_price": 10, "discount_amount": n} for n in (1, 11, 12)],
+    }
+    w = Warehouse(spark, {e: raw(d) for e, d in docs.items()}, CFG, store=str(tmp_path))
+    assert Q.singular_check("net_revenue_non_negative", w.once).first().violations == 2
+    assert not (tmp_path / "fct_orders").exists() and not (tmp_path / "raw").exists()
+    assert w.table("fct_orders").where("net_revenue < 0").count() == 2 and (tmp_path / "fct_orders").exists()
