@@ -237,3 +237,29 @@ def test_only_tables_asked_for_are_written(spark, raw, tmp_path):
     assert Q.singular_check("net_revenue_non_negative", w.once).first().violations == 2
     assert not (tmp_path / "fct_orders").exists() and not (tmp_path / "raw").exists()
     assert w.table("fct_orders").where("net_revenue < 0").count() == 2 and (tmp_path / "fct_orders").exists()
+
+
+def test_order_totals_count_lines_once_per_header(spark, tmp_path):
+    """Repeated headers, lines without a header or a part, headers without lines, no keys."""
+    from larchmart.sources import fixtures
+
+    spark.sql("""select * from values (1L, 1L, 'F', 9.0D, timestamp_ntz'1995-01-01', 'a'), (1L, 2L, 'O', 9.0D, timestamp_ntz'1995-01-01', 'a'),
+        (2L, 1L, 'F', 7.5D, timestamp_ntz'1995-01-01', 'a'), (3L, 1L, 'F', 9.0D, timestamp_ntz'1995-01-01', 'a'), (null, 1L, 'F', 4.0D, timestamp_ntz'1995-01-01', 'a')
+        as t(o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)""").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("""select l_orderkey, l_partkey, 1L as l_suppkey, 1 as l_linenumber, q as l_quantity, 0.1D as l_discount, timestamp_ntz'1995-01-01' as l_shipdate
+        from values (1L, 1L, 2.0D), (1L, 1L, 3.0D), (3L, 1L, 1.0D), (3L, 9L, 1.0D), (4L, 1L, 1.0D), (null, 1L, 1.0D), (2L, null, 1.0D)
+        as t(l_orderkey, l_partkey, q)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("select 1L as p_partkey, 10.0D as p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    found = fixtures.orders(spark, str(tmp_path)).selectExpr("order_id", "cast(gross_amount as string) g", "cast(discount_amount as string) d").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [("ORD-1", "100.00", "10.00")] * 2 + [("ORD-2", "7.50", "0.00"), ("ORD-3", "10.00", "1.00"), (None, "4.00", "0.00")], key=str)
+
+
+def test_session_rollup_shuffles_before_it_sums(raw):
+    """The rollup to sessions holds no sessions in the map tasks."""
+    orders = parse_entity(raw([{"order_id": f"O{i}", "session_id": f"S{i % 3}", "net_revenue": i} for i in range(9)]), "orders")
+    rolled = M.session_orders(orders)
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and "Aggregate" not in plan[plan.index("REPARTITION_BY_COL"):]
+    assert {r.session_id: (r.first_order_id, r.order_count, str(r.attributed_revenue)) for r in rolled.collect()} == {
+        "S0": ("O0", 3, "9.00"), "S1": ("O1", 3, "12.00"), "S2": ("O2", 3, "15.00")}
