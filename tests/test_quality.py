@@ -96,3 +96,13 @@ def test_folded_unique_checks_match_single(spark):
     folded = res(Q.unique_checks(df, checks))
     single = {k: v for c in checks for k, v in res(Q.unique_check(df, c)).items()}
     assert folded == single == {("unique", "s"): 2, ("unique", "n"): 2, ("unique", "t"): 2}
+
+
+def test_unique_checks_shuffle_before_they_count(spark):
+    """No count per value in the map tasks, which would hold every value of a split."""
+    df = spark.range(100).selectExpr("cast(id as string) as s", "cast(id % 60 as string) as t")
+    for columns, dupes in ((["s"], {("unique", "s"): 0}), (["s", "t"], {("unique", "s"): 0, ("unique", "t"): 40})):
+        found = Q.unique_checks(df, [Q.Check("unique", "m", c) for c in columns])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_COL" in plan and "Aggregate" not in plan[plan.index("REPARTITION_BY_COL"):]
+        assert res(found) == dupes
