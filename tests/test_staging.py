@@ -40,3 +40,11 @@ def test_rejects_of_every_kind(spark, raw):
     frame = raw(texts).unionByName(spark.createDataFrame([(99, None, None)], "id long, payload string, _ingested_at timestamp_ntz"))
     bad = {r.id: r.bad_keys for r in rejects(frame, "order_items").collect()}
     assert bad == {i: [] for i in (3, 4, 5, 6, 7, 8, 9, 10, 11, 99)} | {12: ["quantity"], 13: ["quantity"], 14: ["quantity", "unit_price"]}
+
+
+def test_rejects_parse_each_document_once(raw):
+    """A filter on the parsed document does not parse it again for every key."""
+    docs = raw([{"order_id": "O1", "gross_amount": "12,50"}, {"order_id": "O2", "gross_amount": 3}, "{cut", "[1]"])
+    found = rejects(docs, "orders")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert sorted(r.bad_keys for r in found.collect()) == [[], [], ["gross_amount"]]
