@@ -60,3 +60,18 @@ def test_faulty_report_finds_something_for_every_kind(spark):
     assert len(rows) == 213
     silent = [(r.check_name, r.model, r.column_name) for r in rows if r.violations == 0]
     assert silent == []
+
+
+def test_faulty_report_writes_no_damaged_copies(spark, monkeypatch):
+    """The checks on damaged rows read them as they are made."""
+    from larchmart.plans import registry
+
+    rows = spark.createDataFrame([(f"S{i}", "C1") for i in range(20)], "session_id string, customer_id string")
+    names = []
+    monkeypatch.setattr(registry, "BUILD_ORDER", [("stg_sessions", "staging", "table")])
+    monkeypatch.setattr(registry, "_DECLARED", [registry.Q.Check("not_null", "stg_sessions", "customer_id"), registry.Q.Check("unique", "stg_sessions", "session_id")])
+    monkeypatch.setattr(registry, "_SINGULAR_KEYS", {})
+    monkeypatch.setattr(registry, "work_dir", lambda s: names.append("folder"))
+    monkeypatch.setattr(registry, "wh", lambda s, d: type("W", (), {"table": staticmethod(lambda m: rows)})())
+    report = {r.check_name: r.violations for r in registry.dq_report_faulty(spark, "nowhere").collect()}
+    assert report == {"not_null": 2, "unique": 4} and not names
