@@ -263,3 +263,43 @@ def test_session_rollup_shuffles_before_it_sums(raw):
     assert "REPARTITION_BY_COL" in plan and "Aggregate" not in plan[plan.index("REPARTITION_BY_COL"):]
     assert {r.session_id: (r.first_order_id, r.order_count, str(r.attributed_revenue)) for r in rolled.collect()} == {
         "S0": ("O0", 3, "9.00"), "S1": ("O1", 3, "12.00"), "S2": ("O2", 3, "15.00")}
+
+
+FACT_DOCS = {
+    "customers": [cust("C1", "2024-01-01 00:00:00"), cust("C1", "2024-03-01 00:00:00"), cust("C2", "2024-01-01 00:00:00")],
+    "products": [{"product_id": f"P{n}", "sku": f"S{n}", "product_name": "N", "category": "A", "unit_cost": 4, "retail_price": 10} for n in (1, 2)],
+    "sessions": [{"session_id": "S1", "customer_id": "C1", "session_start": "2024-02-01 00:00:00", "page_views_count": 3}],
+    "orders": [
+        {"order_id": f"O{n}", "customer_id": c, "session_id": "S1", "order_date": f"2024-0{n}-01 00:00:00", "order_status": "completed", "net_revenue": 10}
+        for n, c in ((2, "C1"), (4, "C1"), (5, "C2"), (6, "C9"))
+    ],
+    "order_items": [
+        {"order_item_id": f"I{o}{n}", "order_id": f"O{o}", "product_id": f"P{n}", "quantity": 1, "unit_price": 10 + n, "discount_amount": 1}
+        for o in (2, 4, 5, 6)
+        for n in (1, 2)
+    ],
+}
+
+
+def _stored(spark, raw, tmp_path, extra=None):
+    from larchmart.config import FIXTURE_CONFIG
+    from larchmart.plans.warehouse import Warehouse
+
+    docs = {e: d + (extra or {}).get(e, []) for e, d in FACT_DOCS.items()}
+    return Warehouse(spark, {e: raw(d) for e, d in docs.items()}, FIXTURE_CONFIG, store=str(tmp_path))
+
+
+def test_mart_reads_the_fact_as_a_plan(spark, raw, tmp_path):
+    """The customer mart reads the fact once: it is not written for that, and its lines are
+    summed up where the join by order leaves them.  The rows are those over the written fact."""
+    plan, table = _stored(spark, raw, tmp_path / "plan"), _stored(spark, raw, tmp_path / "table")
+    table.table("fct_orders"), table.table("fct_sessions")
+    rows = lambda w: sorted(map(tuple, w.table("mart_customer_360").drop("customer_key").collect()), key=str)
+    assert rows(plan) == rows(table) and len(rows(plan)) == 2
+    assert not (tmp_path / "plan" / "fct_orders").exists() and (tmp_path / "table" / "fct_orders").exists()
+    found = {r.customer_id: (r.lifetime_order_count, str(r.lifetime_net_revenue), r.session_count) for r in plan.table("mart_customer_360").collect()}
+    assert found == {"C1": (2, "42.00", 1), "C2": (1, "21.00", 0)}
+    fact = M.fct_orders(plan.fact_lines, plan.table("dim_customers"), plan.cfg)
+    for by_order in (True, False):
+        text = M.customer_order_lines(fact, plan.table("dim_customers"), by_order)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("RepartitionByExpression" in text) is not by_order
