@@ -303,3 +303,25 @@ def test_mart_reads_the_fact_as_a_plan(spark, raw, tmp_path):
     for by_order in (True, False):
         text = M.customer_order_lines(fact, plan.table("dim_customers"), by_order)._jdf.queryExecution().optimizedPlan().toString()
         assert ("RepartitionByExpression" in text) is not by_order
+
+
+def test_relationships_write_the_fact_in_the_columns_read(spark, raw, tmp_path):
+    """The checks on foreign keys write the order fact without the columns that neither they nor
+    the models made of it read; violations and models are those over the whole fact."""
+    from larchmart.operators import quality as Q
+    from larchmart.plans import registry as G
+
+    checks = [c for c in Q.declared_checks(CFG) if c.kind == "relationships"]
+    part, table = _stored(spark, raw, tmp_path / "part"), _stored(spark, raw, tmp_path / "table")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    got, whole = rows(Q.run_checks(G._narrow_fact(part, checks), checks)), table.table("fct_orders")
+    assert got == rows(Q.run_checks(table.table, checks)) and len(got) == len(checks)
+    written = [p.name for p in (tmp_path / "part").iterdir() if p.name.startswith("fct_orders")]
+    kept = set(spark.read.parquet(str(tmp_path / "part" / written[0])).columns)
+    assert len(written) == 1 and written != ["fct_orders"] and kept < set(whole.columns) and "fct_order_item_key" not in kept
+    for model in ("fct_daily_sales", "mart_customer_360"):
+        assert rows(part.table(model)) == rows(table.table(model))
+    assert rows(part.table("fct_orders")) == rows(whole)  # all columns where they are asked for
+    # lines of an order are one pair before the shuffle
+    text = M.fct_daily_sales(whole, by_order=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in text
