@@ -325,3 +325,34 @@ def test_relationships_write_the_fact_in_the_columns_read(spark, raw, tmp_path):
     # lines of an order are one pair before the shuffle
     text = M.fct_daily_sales(whole, by_order=True)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" not in text
+
+
+def test_null_checks_join_the_lines_once(spark, raw, tmp_path):
+    """Nulls of the order lines and of the order fact are counted while the fact is written in
+    few columns; counts and models are those over the whole tables, also where the catalog has a
+    product twice (its lines are two rows of the margins and four of the fact)."""
+    from larchmart.operators import quality as Q
+    from larchmart.plans import registry as G
+
+    item = {"order_id": "O2", "product_id": "P1", "quantity": 1, "unit_price": 5, "discount_amount": 1}
+    extra = {
+        "products": [FACT_DOCS["products"][0]],
+        "order_items": [item, item | {"order_item_id": "I9", "discount_amount": None}, item | {"order_item_id": "I8", "product_id": "none"}],
+    }
+    checks = [c for c in Q.declared_checks(CFG) if c.kind == "not_null"]
+    part, table = _stored(spark, raw, tmp_path / "part", extra), _stored(spark, raw, tmp_path / "table", extra)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    counted = G._counted_lines(part, checks)
+    assert set(counted) == {"int_order_margins", "fct_orders"}
+    got = rows(Q.run_checks(part.table, checks, counted))
+    table.table("fct_orders")
+    assert G._counted_lines(table, checks) == {}  # the fact is there: its table is read
+    assert got == rows(Q.run_checks(table.table, checks)) and len(got) == len(checks)
+    found = {(r[1], r[2]): r[5] for r in got}
+    assert found["int_order_margins", "order_item_id"] == 2 and found["fct_orders", "order_item_id"] == 4
+    assert found["int_order_margins", "net_revenue"] == 2 and found["fct_orders", "net_revenue"] == 4
+    written = [p.name for p in (tmp_path / "part").iterdir() if p.name.startswith("fct_orders")]
+    kept = set(spark.read.parquet(str(tmp_path / "part" / written[0])).columns)
+    assert len(written) == 1 and written != ["fct_orders"] and not kept & {"order_item_id", "fct_order_item_key", "unit_cost"}
+    for model in ("fct_daily_sales", "mart_customer_360"):
+        assert rows(part.table(model)) == rows(table.table(model))
