@@ -10,7 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
@@ -21,6 +21,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a Python worker handles at once (a longer text is one chunk).
 CHUNK_BYTES = 2 << 20
 
+#: Bits of a filter that tells which rows may match some keys (false positives only),
+#: and of one row of it.
+FILTER_BITS = 1 << 24
+FILTER_BLOCK = 1 << 15
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -87,3 +92,29 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
             total += int(n)
         if batch.num_rows > start:
             yield batch.slice(start)
+
+
+def _slot(key: Column) -> Column:
+    return key.bitwiseAND(F.lit(FILTER_BITS - 1))
+
+
+def slot_bits(keys: DataFrame) -> DataFrame:
+    """at, bits: a bit per slot of the filter, whether one of the keys (``key``, a long)
+    falls into it; FILTER_BITS bits in all, however many keys there are."""
+    slot = _slot(F.col("key"))
+    return keys.groupBy(F.shiftright(slot, 15).alias("at")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit(FILTER_BLOCK - 1))).alias("bits"))
+
+
+def with_match(rows: DataFrame, key: Column, keys: DataFrame, name: str) -> DataFrame:
+    """``rows`` with a flag ``name``: false only where ``key`` is none of the keys."""
+    bits = keys.transform(slot_bits).withColumnRenamed("at", "__at").withColumnRenamed("bits", "__bits")
+    at = _slot(key).bitwiseAND(F.lit(FILTER_BLOCK - 1))
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    set_there = F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1
+    joined = rows.join(F.broadcast(bits), F.shiftright(_slot(key), 15) == F.col("__at"), "left")
+    return joined.withColumn(name, F.coalesce(set_there, F.lit(False))).drop("__at", "__bits")
+
+
+def may_match(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows whose ``key`` falls into a slot of the keys: all that match, and some others."""
+    return with_match(rows, key, keys, "__match").where("__match").drop("__match")

@@ -26,7 +26,9 @@ share tiles, so there a tile is (band, single shingle).  Of the shingles below a
 hash, a set with more than ``1 - threshold`` of its size found in no other set
 links with nothing.  The sets left are ordered with shingles found in one set
 first, then by hash: linked sets share a shingle among the first
-``n - ceil(threshold * n) + 1``, and those found in one set make no tile.
+``n - ceil(threshold * n) + 1``, and those found in one set make no tile.  What connects
+classes there is not one tile but as many as a link needs (``rare_pairs``): single tiles
+would make most of a large corpus one group.
 
 A batch sends one row per tile to the shuffle, however many of its classes
 share the tile (these are tied to it by a tile of the batch's own), so a group
@@ -48,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, chunks, cut, table, text_or_empty, without
+from .common import arrow_map, chunks, cut, may_match, table, text_or_empty, with_match, without
 from .wordhash import distinct, mix, ngrams, split_words, word_hashes
 
 
@@ -67,9 +69,14 @@ QUERY_RULE = Rule(3, 9, 10)
 THIN = (9, 10)
 #: Share of the shingles, by hash, that the first test of a set looks at.
 LOOKED_AT = 0.35
+#: Leading bits of a shingle that this test tells shingles apart by: what agrees in them
+#: counts as shared, which leaves a set in.  The others are zero, and move as nothing.
+LOOKED_BITS = 40
 BAND_RATIO = 1.5
 BITMAP_BITS = 4096
 BLOCK = 512
+#: Classes of a single-shingle tile up to which its pairs are counted one by one.
+CROWD = 64
 
 _U = np.uint64
 _EDGES = [1]
@@ -179,9 +186,15 @@ def shingle_rows(docs: DataFrame, rule: Rule, share: float = 1.0) -> DataFrame:
     return arrow_map(docs.select(text_or_empty().alias("text")), run, "shingle long, class long")
 
 
+def _row_key(doc_id: str, text_hash: str) -> Column:
+    return F.xxhash64(doc_id, text_hash)
+
+
 def _with_texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """``reps`` (class, __id, __hash and others) with the text of a row of that id and hash."""
     src = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    # of the other texts only those that pass a filter on id and hash are moved
+    src = may_match(src, _row_key("doc_id", "text_hash"), reps.select(_row_key("__id", "__hash").alias("key")))
     # the candidates follow the corpus, so no size of theirs makes a broadcast safe
     found = src.join(reps.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
     return found.dropDuplicates(["class"])
@@ -189,12 +202,13 @@ def _with_texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
 def may_link(docs: DataFrame, classes: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """One row of ``docs`` and of ``classes`` for every class that may link with another one."""
-    seen = shingle_rows(docs, rule, LOOKED_AT).groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
+    looked = shingle_rows(docs, rule, LOOKED_AT).withColumn("shingle", F.col("shingle").bitwiseAND(F.lit(-1 << (64 - LOOKED_BITS))))
+    seen = looked.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
     alone = seen.where("lo = hi").groupBy(F.col("lo").alias("__class")).agg(F.count(F.lit(1)).alias("alone"))
     sets = classes.where("`class` IS NOT NULL").groupBy("class", "n_shingles").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
     left = sets.join(alone, F.col("class") == F.col("__class"), "left")
     left = left.where(F.coalesce("alone", F.lit(0)) * rule.den <= F.col("n_shingles") * (rule.den - rule.num))
-    left = left.select("class", "n_shingles", F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash"))
+    left = cut(left.select("class", "n_shingles", F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash")), "may-link-ids")
     left = cut(_with_texts(docs, left).select("doc_id", "text", "text_hash", "class", "n_shingles"), "may-link")
     return left.select("doc_id", "text"), left.select("doc_id", "text_hash", "n_shingles", "class")
 
@@ -208,10 +222,15 @@ def _bands(n: Column, rule: Rule) -> Column:
     return F.when(near, F.array(own, own + 1)).otherwise(F.array(own))
 
 
-def rare_shared(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """class, and the least (a) and largest (most) class of a tile it is in;
-    one row of ``docs`` and ``classes`` per class."""
-    rows = cut(shingle_rows(docs, rule), "shingles")
+def rare_pairs(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a < b) of classes that may link, and ``crowded``: whether only a tile of more
+    than ``CROWD`` classes says so; one row of ``docs`` and ``classes`` per class.
+
+    In other tiles every pair is counted.  Of two linked sets, take the one whose first
+    shingles end first: all that they share up to there are shared tiles, and beyond are
+    ``ceil(threshold * n) - 1`` of its shingles, so they need that many shared tiles less.
+    A crowded tile ties its classes to its least one instead, as do parts of sets."""
+    rows = shingle_rows(docs, rule)  # of the sets left only: made again, not written
     seen = rows.groupBy(F.col("shingle").alias("__s")).agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("__s")
     both = rows.join(seen, F.col("shingle") == F.col("__s")).select("shingle", F.col("class").alias("__class"))
     sizes = classes.select("class", "n_shingles", F.ceil(F.col("n_shingles") * rule.num / F.lit(rule.den)).alias("need"))
@@ -219,10 +238,22 @@ def rare_shared(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     ranked = both.join(sizes, F.col("__class") == F.col("class")).select(
         "shingle", "class", "n_shingles", "need", F.count(F.lit(1)).over(of).alias("found"), F.row_number().over(of.orderBy("shingle")).alias("nth")
     )
-    tiles = ranked.where("nth <= found - need + 1").select("shingle", "class", F.explode(_bands(F.col("n_shingles"), rule)).alias("band"))
+    bands = _bands(F.col("n_shingles"), rule)
+    tiles = ranked.where("nth <= found - need + 1").select("shingle", "class", "n_shingles", bands[0].alias("own"), F.explode(bands).alias("band"))
     tiles = cut(tiles, "tiles")
-    ends = tiles.groupBy(F.col("shingle").alias("__s"), F.col("band").alias("__b")).agg(F.min("class").alias("a"), F.max("class").alias("most")).where("a < most")
-    return tiles.join(ends, (F.col("shingle") == F.col("__s")) & (F.col("band") == F.col("__b"))).select("class", "a", "most")
+    ends = tiles.groupBy(F.col("shingle").alias("__s"), F.col("band").alias("__b")).agg(F.min("class").alias("least"), F.max("class").alias("most"), F.count(F.lit(1)).alias("k"))
+    shared = tiles.join(ends.where("least < most"), (F.col("shingle") == F.col("__s")) & (F.col("band") == F.col("__b")))
+    shared = cut(shared.select("shingle", "band", "class", "n_shingles", "own", "least", "k"), "shared")
+    crowds = shared.where((F.col("k") > CROWD) & (F.col("class") != F.col("least"))).select(F.col("least").alias("a"), F.col("class").alias("b")).distinct()
+    x, y = (shared.where(F.col("k") <= CROWD).select("shingle", "band", *[F.col(c).alias(f"{c}_{side}") for c in ("class", "n_shingles", "own")]) for side in "ab")
+    # a pair counts in the lowest band that both are in
+    met = x.join(y, ["shingle", "band"]).where("class_a < class_b AND band = greatest(own_a, own_b)")
+    per = met.groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "n_shingles_a", "n_shingles_b").agg(F.count(F.lit(1)).alias("met"))
+    less, more = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
+    needed = F.ceil((less + more) * rule.num / F.lit(rule.num + rule.den)) - F.ceil(more * rule.num / F.lit(rule.den)) + 1
+    counted = per.where((less * rule.den >= more * rule.num) & (F.col("met") >= needed)).select("a", "b")
+    flagged = counted.withColumn("crowded", F.lit(False)).unionByName(crowds.withColumn("crowded", F.lit(True)))
+    return flagged.groupBy("a", "b").agg(F.max("crowded").alias("crowded"))
 
 
 def _need(n_a: np.ndarray, n_b: np.ndarray, rule: Rule) -> np.ndarray:
@@ -350,31 +381,40 @@ def _stars(members: DataFrame, pairs: DataFrame, block: int) -> DataFrame:
 
 def link_classes(docs: DataFrame, classes: DataFrame, block: int, rule: Rule) -> DataFrame:
     """class, label of every class that is linked with another one."""
-    if rule.num * THIN[1] < rule.den * THIN[0]:
+    single = rule.num * THIN[1] < rule.den * THIN[0]
+    if single:
         docs, classes = may_link(docs, classes, rule)
-        shared = rare_shared(docs, classes, rule)
+        pairs = cut(rare_pairs(docs, classes, rule), "pairs")
     else:
         in_tile = Window.partitionBy("tile")
         shared = tile_members(docs, rule).select("class", F.min("class").over(in_tile).alias("a"), F.max("class").over(in_tile).alias("most"))
-    pairs = cut(shared.where("a < most AND `class` <> a").select("a", F.col("class").alias("b")).distinct(), "pairs")
+        pairs = cut(shared.where("a < most AND `class` <> a").select("a", F.col("class").alias("b")).distinct(), "pairs")
     # classes that tiles connect: only within such a group can there be links
-    groups = components(pairs).select(F.col("class").alias("__class"), F.col("label").alias("g"))
+    groups = components(pairs.select("a", "b")).select(F.col("class").alias("__class"), F.col("label").alias("g"))
     sizes = groups.groupBy(F.col("g").alias("__g")).agg(F.count(F.lit(1)).alias("m"))
     groups = cut(groups.join(sizes, F.col("g") == F.col("__g")).select("__class", "g", "m"), "groups")
     reps = classes.join(groups, F.col("class") == F.col("__class")).groupBy("class", "g", "m").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
     reps = cut(reps.select("class", "g", "m", F.col("r.doc_id").alias("__id"), F.col("r.text_hash").alias("__hash")), "reps")
     members = cut(_with_texts(docs, reps).select("class", "g", "m", "text"), "members")
-    # a group beyond one block: first each tile's classes against its least one
-    large = pairs.join(groups.where(F.col("m") > block), F.col("a") == F.col("__class")).select("a", "b")
+    # a group beyond one block: first each tile's classes against its least one, and the pairs that were counted
+    large = pairs.join(groups.where(F.col("m") > block), F.col("a") == F.col("__class")).select(*pairs.columns)
     fans = large.groupBy(F.col("a").alias("__a")).agg(F.count(F.lit(1)).alias("fans"))
-    large = cut(large.join(fans, F.col("a") == F.col("__a")).select("a", "b", "fans"), "large")
+    large = cut(large.join(fans, F.col("a") == F.col("__a")).select(*pairs.columns, "fans"), "large")
     links = cut(group_links(_stars(members, large, block), rule), "links")
     labels = components(links).select(F.col("class").alias("__class"), "label")
-    left = cut(members.select("class", "g", "m").join(labels, F.col("class") == F.col("__class"), "left").select("class", "g", "m", F.coalesce("label", "class").alias("label")), "left")
+    grouped = members.select("class", "g", "m")
+    if single:
+        # of a large group, only what crowded tiles connect is not compared yet
+        crowd = cut(components(large.where("crowded").select("a", "b")).select(F.col("class").alias("__class"), F.col("label").alias("crowd")), "crowds")
+        of = crowd.groupBy(F.col("crowd").alias("__g")).agg(F.count(F.lit(1)).alias("n"))
+        crowd = crowd.join(of, F.col("crowd") == F.col("__g")).select("__class", F.col("crowd").alias("g"), F.col("n").alias("m"))
+        rest = members.where(F.col("m") > block).select("class").join(crowd, F.col("class") == F.col("__class")).select("class", "g", "m")
+        grouped = grouped.where(F.col("m") <= block).unionByName(rest)
+    left = cut(grouped.join(labels, F.col("class") == F.col("__class"), "left").select("class", "g", "m", F.coalesce("label", "class").alias("label")), "left")
     # then what is still apart in a group, all against all in blocks
     apart = left.groupBy(F.col("g").alias("__g")).agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1")
-    rows = left.join(apart, F.col("g") == F.col("__g")).select(F.col("class").alias("__class"), "label")
-    rows = members.join(rows, F.col("class") == F.col("__class")).select("class", "g", "m", "label", "text")
+    rows = left.join(apart, F.col("g") == F.col("__g")).select(F.col("class").alias("__class"), "g", "m", "label")
+    rows = members.select("class", "text").join(rows, F.col("class") == F.col("__class")).select("class", "g", "m", "label", "text")
     more = cut(group_links(_blocks(rows, block), rule), "links")
     return components(links.unionByName(more))
 
@@ -398,18 +438,22 @@ def keep_one(docs: DataFrame, rule: Rule = QUERY_RULE) -> DataFrame:
     """The documents without those that link, directly or not, with one of a
     lower id; of rows equal in id and text one stays, rows without an id stay
     unless they link with a row that has one, rows without words stay."""
-    docs = without(docs, "__id", "__hash", "__goes", "__text_hash")
+    docs = without(docs, "__id", "__hash", "__goes", "__text_hash", "__marked", "__repeated", "__at", "__bits")
     goes = F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
     marks = link_documents(docs, rule=rule).groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     marks = marks.agg(F.max(goes).alias("__goes"), F.count(F.lit(1)).alias("n"))
     marks = cut(marks.where("__goes OR (n > 1 AND __id IS NOT NULL)").select("__id", "__hash", "__goes"), "marks")
     repeated = cut(marks.where("NOT __goes").select("__id", "__hash"), "repeated")
+    key = lambda rows: rows.select(_row_key("__id", "__hash").alias("key"))
     hashed = docs.withColumn("__text_hash", F.xxhash64(text_or_empty()))
+    of = _row_key("doc_id", "__text_hash")
+    hashed = with_match(with_match(hashed, of, key(marks), "__marked"), of, key(repeated), "__repeated")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
-    # the marks follow the corpus: whole texts move once, at every size
-    single = hashed.join(marks.hint("merge"), same, "left_anti")
-    one = hashed.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "__text_hash"])
-    return single.unionByName(one).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the marks follow the corpus: texts that may have one move, the others stay where they are
+    single = hashed.where("__marked").join(marks.hint("merge"), same, "left_anti")
+    one = hashed.where("__repeated").join(repeated.hint("merge"), same, "left_semi").dropDuplicates(["doc_id", "__text_hash"])
+    kept = hashed.where("NOT __marked").unionByName(single).unionByName(one)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

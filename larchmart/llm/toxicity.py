@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, chunks, cut, table, without
+from .common import FILTER_BITS, FILTER_BLOCK, arrow_map, chunks, cut, may_match, slot_bits, table, without
 from .wordhash import distinct, ngrams, span_hashes, split_words, word_hashes
 
 SAMPLE_TOXIC = 1200
@@ -56,8 +56,6 @@ ROUNDS = 60
 EVIDENCE_RATIO = 12.0
 EVIDENCE_G2 = 25.0
 EVIDENCE_IMPURE = 0.1
-#: Bits of the filter that tells which features may be evidence (false positives only).
-FILTER_BITS = 1 << 24
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[ord(c) for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]] = True
@@ -223,35 +221,13 @@ def _counts(rows: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
     return parts.groupBy("key").agg(F.sum("once").alias("once"), F.sum("twice").alias("twice"))
 
 
-_BLOCK = 1 << 15
-
-
-def _slot(key: Column) -> Column:
-    return key.bitwiseAND(F.lit(FILTER_BITS - 1))
-
-
-def _slot_bits(keys: DataFrame) -> DataFrame:
-    """at, bits: a bit per slot of the filter, whether one of the keys falls into
-    it; FILTER_BITS bits in all, however many keys there are."""
-    return keys.groupBy(F.shiftright(_slot(F.col("key")), 15).alias("at")).agg(F.bitmap_construct_agg(_slot(F.col("key")).bitwiseAND(F.lit(_BLOCK - 1))).alias("bits"))
-
-
 def _slots(keys: DataFrame) -> np.ndarray:
     out = np.zeros(FILTER_BITS, bool)
-    for r in _slot_bits(keys).collect():
-        out[r["at"] * _BLOCK : (r["at"] + 1) * _BLOCK] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+    for r in slot_bits(keys).collect():
+        out[r["at"] * FILTER_BLOCK : (r["at"] + 1) * FILTER_BLOCK] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
     return out
 
 
-def _may_match(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
-    """The rows whose ``key`` falls into a slot of the keys: all that match, and some others."""
-    bits = keys.transform(_slot_bits).withColumnRenamed("at", "__at").withColumnRenamed("bits", "__bits")
-    at = _slot(key).bitwiseAND(F.lit(_BLOCK - 1))
-    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    set_there = F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1
-    return rows.join(F.broadcast(bits), F.shiftright(_slot(key), 15) == F.col("__at")).where(set_there).drop("__at", "__bits")
-
-
 def evidence(training: DataFrame) -> DataFrame:
     """key: the features that are evidence, from all rows of ``training`` (__id, toxic, text)."""
     weighed = training.join(copy_weights(training).withColumnRenamed("__id", "__w"), F.col("__id") == F.col("__w"), "left")
@@ -390,7 +366,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return constant_model(float(bool(n_toxic)))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # of the texts without a label only those that pass a filter on the ids are moved
-    likely = _may_match(docs.select("doc_id", text.alias("text")), F.xxhash64("doc_id"), per.select(F.xxhash64(F.col("__id").cast(docs.schema["doc_id"].dataType)).alias("key")))
+    likely = may_match(docs.select("doc_id", text.alias("text")), F.xxhash64("doc_id"), per.select(F.xxhash64(F.col("__id").cast(docs.schema["doc_id"].dataType)).alias("key")))
     training = cut(likely.join(per, F.col("doc_id") == F.col("__id")).select("__id", "toxic", "text"), "training")
     order = F.xxhash64("__id")
     ids = per.where("toxic = 1").orderBy(order, "__id").limit(SAMPLE_TOXIC).unionByName(per.where("toxic = 0").orderBy(order, "__id").limit(SAMPLE_OTHER))

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from larchmart.llm import extraction, fingerprints, mixing, ngram_join, packing, pii, quality, sharding, toxicity, warc
@@ -424,6 +425,45 @@ def test_ngram_join_against_brute_force(docs, empty, block):
     assert sorted(named) == sorted(i for i in root if find(i) == i) and list(kept[0]) == docs.columns
 
 
+def _passages(n):
+    """Texts of 60 words; each has a passage in common with the next one, and is no copy of it."""
+    rnd = random.Random(29)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(8))
+    common = [[word() for _ in range(25)] for _ in range(n + 1)]
+    return [" ".join([*common[k], *(word() for _ in range(10)), *common[k + 1]]) for k in range(n)]
+
+
+def test_shared_passages_make_no_groups(spark):
+    """What links needs many shared shingles: a chain of texts that share some is not compared all with all."""
+    texts = _passages(40)
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[3] + " end"])), "doc_id long, text string")
+    classes = ngram_join.set_classes(docs, corpus_pipeline.NEAR_COPY)
+    pairs = _rows(ngram_join.rare_pairs(docs, classes, corpus_pipeline.NEAR_COPY))
+    of = {r["class"]: r["doc_id"] for r in _rows(classes)}
+    assert [({of[p["a"]], of[p["b"]]}, p["crowded"]) for p in pairs] == [({3, 40}, False)]
+
+
+@pytest.mark.parametrize("crowd", [64, 2, 1])
+def test_crowded_tiles_lose_no_link(spark, monkeypatch, crowd):
+    """Counted pairs and crowded tiles find the same links, in groups beyond a block too."""
+    monkeypatch.setattr(ngram_join, "CROWD", crowd)
+    texts = [t for t in _passages(12) for t in (t, t + " end", t.replace(" ", " x ", 1), t + " other end")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = _rows(ngram_join.link_documents(docs, 2, corpus_pipeline.NEAR_COPY))
+    assert {r["doc_id"]: r["component_id"] for r in got} == {k: k - k % 4 for k in range(len(texts))}
+
+
+def test_texts_without_a_mark_stay_where_they_are(spark):
+    """Only copies, and what may be one, are moved."""
+    texts = _passages(40)
+    docs = spark.range(0, 44, 1, 4).withColumnRenamed("id", "doc_id")
+    docs = docs.withColumn("text", F.element_at(F.array(*[F.lit(t) for t in [*texts, *[texts[0]] * 4]]), (F.col("doc_id") + 1).cast("int")))
+    kept = _rows(ngram_join.keep_one(docs, corpus_pipeline.NEAR_COPY).withColumn("at", F.spark_partition_id()))
+    at = {r["doc_id"]: r["at"] for r in kept}
+    assert sorted(at) == list(range(40))
+    assert [at[i] for i in range(1, 40)] == [(at[1] + i // 11) for i in range(1, 40)]
+
+
 def test_near_copy_stage_against_brute_force(spark):
     """The pipeline's stage links by five-word shingles and 0.8, whatever the size of the texts."""
     rnd = random.Random(11)
